@@ -18,7 +18,7 @@ from .common import ascii_lower, stash
 TRACKED = 4096
 #: Most winners that are broadcast (about 100 bytes each).
 MAX_WINNERS = 1000
-#: Summaries are merged in two steps, so that no task merges those of all input tasks.
+#: Summaries are merged into so many, and only their lists of items meet, so that no task merges those of all input tasks.
 MERGE_WIDTH = 64
 
 
@@ -29,13 +29,18 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def frequent(keyed: DataFrame, max_winners: int = MAX_WINNERS, tracked: int = TRACKED, least: int = 3) -> DataFrame:
     """(digest, keep_id, group_size) of digests that the summary names and the exact count verifies; max_winners rows at most."""
-    partial = (
-        keyed.groupBy((F.spark_partition_id() % MERGE_WIDTH).alias("part"))
-        .agg(F.expr(f"approx_top_k_accumulate(digest, {tracked})").alias("summary"))
+    summaries = keyed.groupBy((F.spark_partition_id() % MERGE_WIDTH).alias("part")).agg(
+        F.expr(f"approx_top_k(digest, {max_winners}, {tracked})").alias("top")
+    )
+    # whatever is frequent in all rows is as frequent in one part at least, so the parts' lists together miss none
+    named = (
+        summaries.selectExpr("inline(top)")
+        .groupBy(F.col("item").alias("digest"))
+        .agg(F.sum("count").alias("estimate"))
+        .orderBy(F.desc("estimate"), "digest")
+        .limit(max_winners)
+        .select("digest")
     )
-    named = partial.agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary")).select(
-        F.expr(f"inline(approx_top_k_estimate(summary, {max_winners}))")
-    ).select(F.col("item").alias("digest"))
     return (
         keyed.join(F.broadcast(named), "digest", "left_semi")
         .groupBy("digest")
