@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import UPPER, read
 from .exact_dedup import exact_dedup
+from .packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,19 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Query] = {
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
