@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import UPPER, read
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .secrets import secret_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(read(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -28,6 +33,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_secret_scan": op3_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
