@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import UPPER, read
 from .exact_dedup import exact_dedup
+from .licenses import license_report
 from .packing import pack
 from .secrets import secret_report
 
@@ -28,6 +29,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(read(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -35,6 +40,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_license_scan": op7_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
