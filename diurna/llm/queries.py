@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import UPPER, read
 from .exact_dedup import exact_dedup
 from .licenses import license_report
+from .line_dedup import line_dedup
 from .packing import pack
 from .secrets import secret_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(read(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
