@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import UPPER, read
+from .decontamination import decontaminate
 from .exact_dedup import exact_dedup
 from .jaccard_join import near_duplicates
 from .licenses import license_report
@@ -25,6 +26,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
