@@ -13,6 +13,7 @@ from .jaccard_join import near_duplicates
 from .licenses import license_report
 from .line_dedup import line_dedup
 from .packing import pack
+from .quality import classify
 from .secrets import secret_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scan": op3_secret_scan,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
