@@ -15,6 +15,7 @@ from .line_dedup import line_dedup
 from .packing import pack
 from .quality import classify
 from .secrets import secret_report
+from .toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scan": op3_secret_scan,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
