@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import UPPER, read
 from .decontamination import decontaminate
 from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .jaccard_join import near_duplicates
 from .licenses import license_report
 from .line_dedup import line_dedup
@@ -54,6 +55,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(read(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
+    "op8_html_extraction": op8_html_extraction,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
