@@ -187,8 +187,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where("text is not null and item is not null").distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    schema = f"id {kind}, item_id {item_kind}, score double, question_overlap double, answer_overlap double, first_word long, end_word long"
+    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    schema = f"id string, item_id {item_kind}, score double, question_overlap double, answer_overlap double, first_word long, end_word long"
     shards = max(1, -(-items.count() // SHARD_ITEMS))
     out = None
     for shard in range(shards):
@@ -205,4 +205,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         part = texts.mapInPandas(run, schema)
         out = part if out is None else out.unionByName(part)
-    return out.withColumnRenamed("id", id_col)
+    return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)

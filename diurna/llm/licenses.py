@@ -140,7 +140,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             as_rows = lambda hits: [dict(zip(names, h, strict=True)) for h in hits]
             yield pd.DataFrame({"id": batch["id"], "n_words": [f[0] for f in found], "base": [as_rows(f[1]) for f in found], "fuzzy": [as_rows(f[2]) for f in found]})
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id string, {SCHEMA}").select(F.col("id").cast(kind).alias(id_col), "n_words", "base", "fuzzy")
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

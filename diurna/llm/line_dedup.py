@@ -107,29 +107,32 @@ def _bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["id", "hash", "second", "data", "times"])
 
 
-def _clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, text, drop in zip(batch["id"].tolist(), batch["text"].tolist(), batch["drop"].tolist(), strict=True):
-            lines = text.split("\n")
-            verdict = {(d["hash"], d["second"]): d["keeper"] for d in drop} if drop is not None and len(drop) else {}
-            first_hashes = {h for h, _ in verdict}
-            gone: list[tuple[int, int]] = []
-            seen: set[bytes] = set()
-            if verdict:
-                for a, b, h, data in hashed(text):
-                    if h not in first_hashes or (keeper := verdict.get((h, _second(data)))) is None:
-                        continue
-                    if keeper != doc or data in seen:
-                        gone.append((a, b))
-                    seen.add(data)
-            at, kept = 0, []
-            for a, b in gone:
-                kept += lines[at:a]
-                at = b
-            kept += lines[at:]
-            rows.append((doc, "\n".join(kept) if gone else text, len(lines), sum(b - a for a, b in gone), len(gone)))
-        yield pd.DataFrame(rows, columns=["id", "text", "n_lines", "lines_removed", "chunks_removed"])
+def _remove(text: str, drop) -> tuple[str, int, int, int]:
+    """(text left, lines before, lines removed, chunks removed); drop: (hash, second, own) of repeated chunks, own where this document's first one stays."""
+    lines = text.split("\n")
+    if drop is None or not len(drop):
+        return text, len(lines), 0, 0
+    verdict = {(d["hash"], d["second"]): d["own"] for d in drop}
+    hashes = {h for h, _ in verdict}
+    gone: list[tuple[int, int]] = []
+    seen: set[bytes] = set()
+    for a, b, h, data in hashed(text):
+        if h not in hashes or (own := verdict.get((h, _second(data)))) is None:
+            continue
+        if not own or data in seen:
+            gone.append((a, b))
+        seen.add(data)
+    at, kept = 0, []
+    for a, b in gone:
+        kept += lines[at:a]
+        at = b
+    kept += lines[at:]
+    return "\n".join(kept), len(lines), sum(b - a for a, b in gone), len(gone)
+
+
+def _cleaned(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
+    rows = [_remove(text, drop) for text, drop in zip(texts.tolist(), drops.tolist(), strict=True)]
+    return pd.DataFrame(rows, columns=["text", "n_lines", "lines_removed", "chunks_removed"])
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -152,25 +155,22 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return verdicts, found
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id_col, text without repeated chunks, n_lines (before), lines_removed, chunks_removed.
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """One row per input row: id_col, text without repeated chunks, n_lines (before), lines_removed, chunks_removed, and the columns to keep.
 
     Null counts as empty text. An empty text is one empty line and is left alone. Rows that repeat an id keep each
     other's chunks, once a row; rows with a null id are left as they are and don't count. A text all of whose chunks stand
     elsewhere becomes empty. A table without rows gives none. Other columns are ignored.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     verdicts, found = repeated_chunks(docs, id_col, text_col)
     drop = (
         found.join(stash(verdicts, "verdicts"), "hash")
         .where((F.col("id") != F.col("keeper")) | (F.col("times") > 1))
         .groupBy("id")
-        .agg(F.collect_list(F.struct("hash", "second", "keeper")).alias("drop"))
-    )
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return (
-        texts.join(drop.hint("shuffle_hash"), "id", "left")
-        .select("id", "text", "drop")
-        .mapInPandas(_clean, f"id {kind}, text string, n_lines long, lines_removed long, chunks_removed long")
-        .withColumnRenamed("id", id_col)
+        .agg(F.collect_list(F.struct("hash", "second", (F.col("id") == F.col("keeper")).alias("own"))).alias("drop"))
     )
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep or [])])
+    joined = texts.join(drop.hint("shuffle_hash"), "id", "left")
+    cleaner = F.pandas_udf(_cleaned, "text string, n_lines long, lines_removed long, chunks_removed long")
+    cleaned = joined.withColumn("c", cleaner("text", "drop"))
+    return cleaned.select(F.col("id").alias(id_col), "c.text", "c.n_lines", "c.lines_removed", "c.chunks_removed", *[F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep or [])])

@@ -167,9 +167,9 @@ def _pack(capacity: int):
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """(row, id, piece, start, length, ids_crc32[, ids]): the documents' tokens and an end id, cut at max_length; row numbers pieces."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
+    # ids travel through pandas as text: a null among them would make long ids floats
+    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = "id string, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
     pieces = texts.mapInPandas(_tokenise(tokenizer_path, max_length, end_id, keep_ids), schema)
     return pieces.withColumn("row", F.monotonically_increasing_id())
 
@@ -185,6 +185,6 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, end
     tasks = max(1, -(-pieces.count() // PIECES_PER_TASK))
     kind = docs.schema[id_col].dataType.simpleString()
     columns = ["row", "id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
-    schema = f"row long, id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids + ", sequence_id long, offset long"
+    schema = "row long, id string, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids + ", sequence_id long, offset long"
     packed = pieces.select(*columns).repartition(tasks, "row").mapInPandas(_pack(max_length), schema)
-    return packed.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * keep_ids)
+    return packed.select(F.col("id").cast(kind).alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * keep_ids)

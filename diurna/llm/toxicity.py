@@ -265,9 +265,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             out["nearest_id"] = out["nearest_id"].astype("Int64")
             yield out
 
-    scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, score double, nearest_id long, nearest_cosine double")
+    scored = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "id string, score double, nearest_id long, nearest_cosine double")
     return scored.select(
-        F.col("id").alias(id_col),
+        F.col("id").cast(kind).alias(id_col),
         F.coalesce(~is_training_row(F.col("id")), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
