@@ -23,5 +23,4 @@ NOTE_DETAIL = _struct(Nota=_struct(codNota=_L, titulo=_S, codEdicion=_S, fecha=_
 IMAGE_LISTING = _struct(imagenesFS=T.ArrayType(_struct(codImagen=_L, pagina=_I, nombreArchivo=_S)))
 TITLE_RECORD = _struct(codNota=_L, titulo=_S, fecha=_S, codOrgaUno=_S)
 RELEASE = _struct(assets=T.ArrayType(_struct(name=_S, browser_download_url=_S, size=_L)))
-ARCHIVE_MEMBER = _struct(asset=_S, asset_pos=_L, member=_S, member_pos=_L, body=_S)
 BOUNDARY = "start int, start_confidence double, start_longest int, end int, end_confidence double, end_longest int"
