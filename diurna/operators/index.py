@@ -108,8 +108,10 @@ def page_images(pages: DataFrame, images: DataFrame, keys: list[str], strict: bo
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """(fecha): all days from first to last; none if last comes before first."""
-    bounds = spark.range(1).select(F.to_date(F.lit(first)).alias("a"), F.to_date(F.lit(last)).alias("b")).where("a <= b")
-    return bounds.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("fecha"))
+    a, b = F.to_date(F.lit(first)), F.to_date(F.lit(last))
+    # a reversed range would make sequence() fail, wherever a filter stands
+    days = spark.range(1).select(F.explode(F.sequence(a, F.greatest(a, b), F.expr("interval 1 day"))).alias("fecha"))
+    return days.where(F.col("fecha") <= b)
 
 
 def missing_days(spark: SparkSession, first: str, last: str, done: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +23,6 @@ def pretty(text: str) -> str:
 
 
 def pretty_json(column: Column) -> Column:
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else pretty(t))
