@@ -3,8 +3,8 @@
 Fitting, on at most ``TOXIC_SAMPLE`` and ``CLEAN_SAMPLE`` labelled rows: terms (words and their beginnings) that stand in
 toxic examples more often than chance allows (chi-squared) make the vocabulary; each example becomes a TF-IDF vector over it,
 and equal vectors one prototype with the weights of its toxic and clean examples (what each stands for in the labelled rows).
-Scoring, over every whole text: blocks of prototypes are visited in order of their largest possible cosine (sums of the terms' block
-maxima) until no block can hold one of the ``NEIGHBOURS`` nearest; all ties of the last one count. Votes weigh the square of
+Scoring, over every whole text: the blocks of prototypes with the largest possible cosines (sums of the terms' block maxima) are
+scored first, then those that can still hold one of the ``NEIGHBOURS`` nearest; all ties of the last one count. Votes weigh the square of
 the cosine relative to the nearest one's, beside a part of a vote for the rate among texts without any term of the vocabulary. The
 score is the toxic share of the votes; the nearest example is the evidence.
 """
@@ -31,9 +31,12 @@ BEGINNINGS = (5, 6, 7)
 #: A beginning that stands so often in a text is a further term for each number reached: single chance hits and repeated use differ
 LEVELS = (2, 4, 8, 16)
 VOCABULARY = 2000
+#: Least chi-squared of a term: a share of the examples, so that chance finds of large samples stay out, and at least a fixed value
+LEAST_PHI2 = 0.0125
 LEAST_CHI2 = 30.0
 NEIGHBOURS = 10
 BLOCK = 64
+FIRST_BLOCKS = 4
 POWER = 2
 #: Votes, of the nearest example's weight, for the rate among texts without any term
 BASE_VOTES = 0.3
@@ -126,10 +129,12 @@ class Index:
             term += [t for t, _ in vector]
             value += w.tolist()
         self.item, self.term, self.value = np.array(item, np.int64), np.array(term, np.int64), np.array(value)
-        self.cut = np.searchsorted(self.item, np.arange(self.blocks + 1) * BLOCK)
         self.block_max = np.zeros((terms, self.blocks))
         np.maximum.at(self.block_max, (self.term, self.item // BLOCK), self.value)
-        self.query = np.zeros(terms)
+        # postings by term
+        order = np.argsort(self.term, kind="stable")
+        self.item, self.term, self.value = self.item[order], self.term[order], self.value[order]
+        self.start = np.searchsorted(self.term, np.arange(terms + 1))
         self.size = p
 
     def vector(self, counts: tuple) -> np.ndarray:
@@ -140,21 +145,22 @@ class Index:
         """(prototype, cosine) of the nearest prototypes: as many as hold so many examples' weight, and all ties of the last one."""
         terms, w = np.array([t for t, _ in counts], np.int64), self.vector(counts)
         bound = w @ self.block_max[terms]
-        self.query[terms] = w
+        items = np.concatenate([self.item[self.start[t] : self.start[t + 1]] for t in terms])
+        parts = np.concatenate([self.value[self.start[t] : self.start[t + 1]] * x for t, x in zip(terms, w, strict=True)])
         found, cosines, least = [], [], 0.0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or bound[block] < least - 1e-12:
-                break
-            a, b = self.cut[block], self.cut[block + 1]
-            low = block * BLOCK
-            cosine = np.bincount(self.item[a:b] - low, self.value[a:b] * self.query[self.term[a:b]], min(BLOCK, self.size - low))
+        # the most promising blocks first; then, all at once, those that can still hold a neighbour
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
+        for turn in (True, False):
+            visit = (first == turn) & (bound > 0) & (bound >= least - 1e-12)
+            there = visit[items // BLOCK]
+            cosine = np.bincount(items[there], parts[there], self.size)
             near = np.flatnonzero((cosine > 0) & (cosine >= least - 1e-12))
-            found.append(near + low)
+            found.append(near)
             cosines.append(cosine[near])
-            least = self._least(np.concatenate(found), np.concatenate(cosines), neighbours)
-        self.query[terms] = 0
-        if not found:
-            return np.empty(0, np.int64), np.empty(0)
+            if turn:
+                least = self._least(near, cosine[near], neighbours)
+        least = self._least(np.concatenate(found), np.concatenate(cosines), neighbours)
         found, cosines = np.concatenate(found), np.concatenate(cosines)
         keep = cosines >= least - 1e-12
         found, cosines = found[keep], cosines[keep]
@@ -214,7 +220,7 @@ def vocabulary(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     cross = a * (clean - b) - b * (toxic - a)
     chi2 = n * cross * cross / ((a + b) * (n - a - b) * toxic * clean)
-    chosen = counts.where((a / toxic > b / clean) & (a + b < n)).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
+    chosen = counts.where((a / toxic > b / clean) & (a + b < n)).withColumn("chi2", chi2).where(F.col("chi2") >= max(LEAST_CHI2, LEAST_PHI2 * n))
     return sorted(r["term"] for r in chosen.orderBy(F.desc("chi2"), "term").limit(VOCABULARY).select("term").collect())
 
 
