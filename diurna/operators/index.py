@@ -106,6 +106,18 @@ def page_images(pages: DataFrame, images: DataFrame, keys: list[str], strict: bo
     return out.withColumn("status", F.when(missing, "missing_page").otherwise("ok")).drop("_there")
 
 
+def index_entries(details: DataFrame, notes: DataFrame, strict: bool = False) -> DataFrame:
+    """details (cod_nota, fecha, cod_edicion, ..) with their entry in the index as struct ``entry``: of several the first, null without one, which fails the job where strict."""
+    keys = ["fecha", "cod_edicion", "cod_nota"]
+    order = "note_pos" if "note_pos" in notes.columns else "cod_nota"
+    first = notes.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in notes.columns if c not in keys]), order).alias("entry"))
+    out = details.join(first, keys, "left")
+    if strict:
+        absent = F.raise_error(F.concat(F.lit("not in the index: note "), F.col("cod_nota").cast("string")))
+        out = out.where(F.when(F.col("entry").isNull(), absent).otherwise(F.lit(True)).cast("boolean"))
+    return out
+
+
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """(fecha): all days from first to last; none if last comes before first."""
     a, b = F.to_date(F.lit(first)), F.to_date(F.lit(last))

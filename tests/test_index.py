@@ -52,6 +52,14 @@ def test_page_images(spark):
         ix.page_images(pages, images, ["cod_diario"], strict=True).collect()
 
 
+def test_index_entries(spark):
+    n = notes(spark, [(1, "MAT", 3, "later twin"), (2, "MAT", 4, "two")]).unionByName(notes(spark, [(1, "MAT", 9, "x")]).withColumn("note_pos", F.lit(-1)))
+    details = spark.createDataFrame([(1, "2024-01-02", "MAT"), (7, "2024-01-02", "MAT")], "cod_nota long, fecha string, cod_edicion string")
+    assert {r.cod_nota: r.entry and r.entry.titulo for r in ix.index_entries(details, n).collect()} == {1: "x", 7: None}
+    with pytest.raises(Exception, match="not in the index"):
+        ix.index_entries(details, n, strict=True).collect()
+
+
 def test_calendar_and_missing_days(spark):
     done = spark.sql("select date '2024-02-28' as fecha union all select date '2024-02-28'")
     assert [str(r.fecha) for r in ix.missing_days(spark, "2024-02-27", "2024-03-01", done).orderBy("fecha").collect()] == ["2024-02-27", "2024-02-29", "2024-03-01"]
