@@ -68,7 +68,7 @@ class Shingler:
 
 
 def tokens(hashes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
-    """16-bit min-hash tokens by one permutation: the least hash of each equal part of the range; an empty part takes the next one's, mixed with the distance."""
+    """64-bit min-hash tokens by one permutation: the least hash of each equal part of the range; an empty part takes the next one's, mixed with the distance."""
     shift = np.uint64(64 - coordinates.bit_length() + 1)
     part = (hashes >> shift).astype(np.int64)
     first = np.searchsorted(part, np.arange(coordinates))
@@ -79,19 +79,26 @@ def tokens(hashes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     value = hashes[first[source]] * np.uint64(0x94D049BB133111EB) + distance * np.uint64(0x9E3779B97F4A7C15)
     value ^= value >> np.uint64(31)
     value *= np.uint64(0xD6E8FEB86659FD93)
-    return (value >> np.uint64(48)).astype(np.uint16).view(np.int16)
+    return value ^ (value >> np.uint64(32))
+
+
+#: Coordinates that the first level samples
+FIRST = [(r * 53) % COORDINATES for r in range(RUNS)]
 
 
 def _sketch(words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
         for batch in batches:
-            keys, sketches = [], []
+            keys, sketches, roots = [], [], []
             for text in batch["text"].tolist():
                 key, hashes = shingler(text)
                 keys.append(key)
-                sketches.append(tokens(hashes).tobytes() if len(hashes) else None)
-            yield pd.DataFrame({"id": batch["id"], "key": keys, "sketch": pd.Series(sketches, dtype=object)})
+                value = tokens(hashes) if len(hashes) else None
+                # 16 bits of a token are enough to estimate a similarity and to split a node; the first level splits all texts at once and takes 64
+                sketches.append(None if value is None else (value >> np.uint64(48)).astype("<u2").tobytes())
+                roots.append(None if value is None else value[FIRST].tobytes())
+            yield pd.DataFrame({"id": batch["id"], "words": keys, "sketch": pd.Series(sketches, dtype=object), "roots": pd.Series(roots, dtype=object)})
 
     return run
 
@@ -129,8 +136,8 @@ def _brute(least: int):
         if len(block) < 2:
             return None
         block = block.sort_values("key")
-        keys = block["key"].to_numpy()
-        sketches = np.frombuffer(b"".join(block["sketch"]), np.int16).reshape(len(keys), -1)
+        keys = block["key"].to_numpy(np.int64)
+        sketches = np.frombuffer(b"".join(block["sketch"]), "<u2").reshape(len(keys), -1)
         root = linked(sketches, least)
         moved = root != np.arange(len(keys))
         return pd.DataFrame({"a": keys[moved], "b": keys[root[moved]]}) if moved.any() else None
@@ -188,7 +195,7 @@ def connected(edges: DataFrame, what: str = "edges") -> DataFrame:
 def leaves(reps: DataFrame, runs: int = RUNS, depth: int = DEPTH, small: int = SMALL, similarity: float = SIMILARITY) -> DataFrame:
     """(node, key): the nodes of the recursion that are searched by brute force, of two members or more."""
     token = lambda c: f"substring(sketch, 2 * ({c}) + 1, 2)"
-    first = "array(" + ", ".join(f"xxhash64({r}, {token((r * 53) % COORDINATES)})" for r in range(runs)) + ")"
+    first = "array(" + ", ".join(f"xxhash64({r}, substring(roots, {8 * r + 1}, 8))" for r in range(runs)) + ")"
     level = reps.select("key", F.explode(F.expr(first)).alias("node"))
     out = None
     for d in range(1, depth + 1):
@@ -230,15 +237,15 @@ def _exact(words: int, similarity: float):
     """Rows sorted by (root, part): links of each member there, and spanning links."""
 
     def compare(rows: pd.DataFrame, shingler: Shingler) -> pd.DataFrame:
-        seen: dict[str, int] = {}
+        seen: dict[int, int] = {}
         sets, own = [], []
-        for key, text, mine in zip(rows["key"], rows["text"], rows["_own"], strict=True):
+        for key, words, text, mine in zip(rows["key"].tolist(), rows["words"], rows["text"], rows["_own"], strict=True):
             found, hashes = shingler(text)
-            if found == key and key not in seen:  # rows that share an id may have other texts
+            if found == words and key not in seen:  # rows that share an id may have other texts
                 seen[key] = len(sets)
                 sets.append(hashes)
                 own.append(mine)
-        n, keys, own = len(sets), np.array(list(seen), dtype=object), np.array(own)
+        n, keys, own = len(sets), np.array(list(seen), np.int64), np.array(own)
         blocks, part = int(rows["_blocks"].iloc[0]), int(rows["part"].iloc[0])
         sizes = np.array([len(s) for s in sets], np.float64)
         both = np.zeros((n, n), np.float32)
@@ -270,7 +277,7 @@ def _exact(words: int, similarity: float):
                 root[np.isin(root, np.append(others, root[k]))] = min(root[k], others.min())
         return pd.DataFrame({"key": keys, "links": near.sum(axis=1).astype(np.int64), "root": keys[root]})
 
-    def run(_, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         return compare(rows, Shingler(words))
 
     return run
@@ -287,30 +294,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketched = stash(texts.mapInPandas(_sketch(words), f"id {kind}, key string, sketch binary"), "sketches")
-    classes = stash(sketched.groupBy("key").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("n_copies"), F.min("sketch").alias("sketch")), "classes")
-    reps = classes.where(F.col("sketch").isNotNull()).select("key", "sketch")
+    # ids travel through pandas as text: a null among them would make long ids floats
+    named_texts = texts.withColumn("id", F.col("id").cast("string"))
+    sketched = stash(named_texts.mapInPandas(_sketch(words), "id string, words string, sketch binary, roots binary").withColumn("id", F.col("id").cast(kind)), "sketches")
+    classes = sketched.groupBy("words").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("n_copies"), F.min("sketch").alias("sketch"), F.min("roots").alias("roots"))
+    # a number for each class: the graph's rows carry it instead of the words' digest
+    classes = stash(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
+    reps = classes.where(F.col("sketch").isNotNull()).select("key", "sketch", "roots")
 
     least = int(math.ceil((similarity - SLACK) * COORDINATES))
     nodes = _blocks(leaves(reps, similarity=similarity), "node", NODE_BLOCK).select("node", "part", "key")
-    members = nodes.join(reps, "key").select("node", "part", "key", "sketch")
+    members = nodes.join(reps.select("key", "sketch"), "key").select("node", "part", "key", "sketch")
     members = members.repartition("node", "part").sortWithinPartitions("node", "part")
-    likely = connected(members.mapInPandas(_brute(least), "a string, b string"), "likely")
+    likely = connected(members.mapInPandas(_brute(least), "a long, b long"), "likely")
 
-    asked = stash(_blocks(likely.join(classes.select("key", "copy_id"), "key"), "root", BLOCK).select("root", "part", "key", "copy_id", "_own", "_blocks"), "asked")
-    wanted = asked.groupBy(F.col("copy_id").alias("id")).agg(F.collect_list(F.struct("root", "part", "key", "_own", "_blocks")).alias("w"))
+    asked = stash(_blocks(likely.join(classes.select("key", "words", "copy_id"), "key"), "root", BLOCK).select("root", "part", "key", "words", "copy_id", "_own", "_blocks"), "asked")
+    wanted = asked.groupBy(F.col("copy_id").alias("id")).agg(F.collect_list(F.struct("root", "part", "key", "words", "_own", "_blocks")).alias("w"))
     compared = (
         texts.join(wanted.hint("shuffle_hash"), "id")
         .select("text", F.explode("w").alias("w"))
         .select("w.*", "text")
         .groupBy("root", "part")
-        .applyInPandas(_exact(words, similarity), "key string, links long, root string")
+        .applyInPandas(_exact(words, similarity), "key long, links long, root long")
     )
     compared = stash(compared, "compared")
     links = compared.groupBy("key").agg(F.sum("links").alias("links"))
     groups = connected(compared.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")), "groups")
     firsts = groups.join(classes.select("key", "copy_id"), "key").groupBy("root").agg(F.min("copy_id").alias("class_id"))
     grouped = groups.join(firsts, "root").select("key", "class_id")
-    named = classes.select("key", "copy_id", "n_copies").join(links, "key", "left").join(grouped, "key", "left")
-    named = named.select("key", F.coalesce("class_id", "copy_id").alias("class_id"), "copy_id", "n_copies", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
-    return sketched.select("id", "key").join(named, "key").select(F.col("id").alias(id_col), "class_id", "copy_id", "n_copies", "n_links")
+    named = classes.select("words", "key", "copy_id", "n_copies").join(links, "key", "left").join(grouped, "key", "left")
+    named = named.select("words", F.coalesce("class_id", "copy_id").alias("class_id"), "copy_id", "n_copies", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    return sketched.select("id", "words").join(named, "words").select(F.col("id").alias(id_col), "class_id", "copy_id", "n_copies", "n_links")
