@@ -34,9 +34,10 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one whose id names the group. Rows that share an id stay or go together."""
+    """One document of each group of near duplicates: the one whose id names the group. Rows that share an id stay or go together; rows without an id stay."""
+    rows = docs.select(COLUMNS)
     kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select(COLUMNS)
+    return rows.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select(COLUMNS).unionByName(rows.where("doc_id is null"))
 
 
 def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

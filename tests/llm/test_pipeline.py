@@ -69,6 +69,16 @@ def test_quality_stage(spark, tmp_path):
     assert len(clean - kept) <= 0.005 * len(clean) and len(junk & kept) <= 0.1 * len(junk)
 
 
+def test_rows_without_an_id_stay(spark, world):
+    sf_dir, _, _ = world
+    docs = spark.createDataFrame([(None, "no id here", "en", "s", 10), (1, "some text of one", "en", "s", 16), (2, "some text of one", "en", "s", 16)], "doc_id long, text string, lang string, source string, n_chars long")
+    for stage in (cp.repeated_lines, cp.near_duplicate_removal, cp.benchmark_removal):
+        assert None in {r["doc_id"] for r in stage(spark, docs, sf_dir).collect()}, stage
+    assert {r["doc_id"] for r in cp.packing(spark, docs, sf_dir).collect()} == {None, 1, 2}
+    empty = docs.limit(0)
+    assert [cp.near_duplicate_removal(spark, empty, sf_dir).count(), cp.repeated_lines(spark, empty, sf_dir).count(), cp.packing(spark, empty, sf_dir).count()] == [0, 0, 0]
+
+
 def test_run(spark, world):
     sf_dir, rows, _ = world
     out = cp.run(spark, sf_dir).toPandas()
