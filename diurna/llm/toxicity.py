@@ -32,7 +32,7 @@ BEGINNINGS = (5, 6, 7)
 LEVELS = (2, 4, 8, 16)
 VOCABULARY = 2000
 #: Least chi-squared of a term: a share of the examples, so that chance finds of large samples stay out, and at least a fixed value
-LEAST_PHI2 = 0.0125
+LEAST_PHI2 = 0.02
 LEAST_CHI2 = 30.0
 NEIGHBOURS = 10
 BLOCK = 64
