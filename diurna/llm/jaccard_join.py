@@ -4,8 +4,8 @@ Texts with the same words form one class; one representative of each goes on. A
 ``COORDINATES`` min-hash tokens (one-permutation hashing; the share of equal tokens estimates the Jaccard similarity).
 Chosen path: a node samples coordinates, 1 / (similarity x coordinates) each, and splits its members by their tokens
 there; ``RUNS`` first-level samples repeat the search, so that a pair at the bound is missed by all of
-them with a probability under 1e-6. Nodes of at most ``SMALL`` members, and whatever is left at ``DEPTH``, are
-searched by brute force over the tokens, which gives linked sets (never all pairs of one). Inside a linked set every pair is
+them with a probability under 1e-6. Nodes of at most ``SMALL`` members, nodes that a split leaves
+nearly whole, and whatever is left at ``DEPTH`` are searched by brute force over the tokens, which gives linked sets (never all pairs of one). Inside a linked set every pair is
 then compared exactly, by its shingles, in blocks: links are counted, not listed, so large sets of near copies
 make rows in proportion to their members.
 """
@@ -30,6 +30,8 @@ COORDINATES = 128
 RUNS = 16
 SMALL = 128
 DEPTH = 4
+#: A node that keeps this share of its parent holds near copies of each other, which no token splits: it is searched as it is
+DENSE = 0.7
 #: Four standard deviations of the estimate below the bound
 SLACK = 4 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / COORDINATES)
 #: Members of one block in the exact comparison; of one task's node in the brute force
@@ -196,26 +198,26 @@ def leaves(reps: DataFrame, runs: int = RUNS, depth: int = DEPTH, small: int = S
     """(node, key): the nodes of the recursion that are searched by brute force, of two members or more."""
     token = lambda c: f"substring(sketch, 2 * ({c}) + 1, 2)"
     first = "array(" + ", ".join(f"xxhash64({r}, substring(roots, {8 * r + 1}, 8))" for r in range(runs)) + ")"
-    level = reps.select("key", F.explode(F.expr(first)).alias("node"))
+    level = reps.select("key", F.explode(F.expr(first)).alias("node"), F.lit(None).cast("long").alias("parent"))
     out = None
     for d in range(1, depth + 1):
-        sized = level.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        level = stash(level.join(sized, "node"), f"paths-{d}")
-        done = level if d == depth else level.where(F.col("n") <= small)
-        done = done.select("node", "key")
+        sized = level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("parent").alias("of")).where("n > 1")
+        level = stash(level.select("node", "key").join(sized, "node"), f"paths-{d}")
+        ends = (F.col("n") <= small) | F.coalesce(F.col("n") >= DENSE * F.col("of"), F.lit(False)) | F.lit(d == depth)
+        done = level.where(ends).select("node", "key")
         out = done if out is None else out.unionByName(done)
-        if d == depth or level.where(F.col("n") > small).isEmpty():
+        split = level.where(~ends)
+        if d == depth or split.isEmpty():
             return out
         share = int(1_000_000 / (similarity * COORDINATES))
         sampled = f"filter(sequence(0, {COORDINATES - 1}), i -> pmod(xxhash64(node, i), 1000000) < {share})"
         # a node that samples none takes one
         chosen = f"if(size({sampled}) > 0, {sampled}, array(cast(pmod(xxhash64(node), {COORDINATES}) as int)))"
         level = (
-            level.where(F.col("n") > small)
-            .select("node", "key")
+            split.select("node", "key", "n")
             .join(reps.select("key", "sketch"), "key")
-            .select("key", "sketch", "node", F.explode(F.expr(chosen)).alias("i"))
-            .select("key", F.expr(f"xxhash64(node, i, {token('i')})").alias("node"))
+            .select("key", "sketch", "node", "n", F.explode(F.expr(chosen)).alias("i"))
+            .select("key", F.expr(f"xxhash64(node, i, {token('i')})").alias("node"), F.col("n").alias("parent"))
         )
     return out
 
