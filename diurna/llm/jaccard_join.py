@@ -1,7 +1,8 @@
 """Near duplicates: Jaccard join of word 5-shingle sets by chosen paths.
 
 Texts with the same words form one class; one representative of each goes on. A representative's set is embedded in
-``COORDINATES`` min-hash tokens (one-permutation hashing; the share of equal tokens estimates the Jaccard similarity).
+``COORDINATES`` min-hash tokens (a hash function each; the share of equal tokens estimates the Jaccard similarity,
+with the same error for sets of any size).
 Chosen path: a node samples coordinates, 1 / (similarity x coordinates) each, and splits its members by their tokens
 there; ``RUNS`` first-level samples repeat the search, so that a pair at the bound is missed by all of
 them with a probability under 1e-6. Nodes of at most ``SMALL`` members, nodes that a split leaves
@@ -32,8 +33,8 @@ SMALL = 128
 DEPTH = 4
 #: A node that keeps this share of its parent holds near copies of each other, which no token splits: it is searched as it is
 DENSE = 0.7
-#: Four standard deviations of the estimate below the bound
-SLACK = 4 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / COORDINATES)
+#: Probability that the estimate drops a pair at the bound before the exact comparison
+MISSED = 1e-6
 #: Members of one block in the exact comparison; of one task's node in the brute force
 BLOCK = 1024
 NODE_BLOCK = 8192
@@ -69,21 +70,37 @@ class Shingler:
         return xxhash.xxh3_128_hexdigest(" ".join(words).encode("utf-8", "surrogatepass")), np.unique(mixed)
 
 
-def tokens(hashes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
-    """64-bit min-hash tokens by one permutation: the least hash of each equal part of the range; an empty part takes the next one's, mixed with the distance."""
-    shift = np.uint64(64 - coordinates.bit_length() + 1)
-    part = (hashes >> shift).astype(np.int64)
-    first = np.searchsorted(part, np.arange(coordinates))
-    full = (first < len(part)) & (part[np.minimum(first, len(part) - 1)] == np.arange(coordinates))
-    at = np.flatnonzero(full)
-    source = at[np.searchsorted(at, np.arange(coordinates)) % len(at)]
-    distance = ((np.arange(coordinates) - source) % coordinates).astype(np.uint64)
-    value = hashes[first[source]] * np.uint64(0x94D049BB133111EB) + distance * np.uint64(0x9E3779B97F4A7C15)
+def _odd_and_shift(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multiplier and summand of each coordinate's hash function: fixed values."""
+    drawn = np.array([xxhash.xxh64_intdigest(f"coordinate {k}") for k in range(2 * coordinates)], np.uint64).reshape(2, coordinates, 1)
+    return drawn[0] | np.uint64(1), drawn[1]
+
+
+_ODD, _SHIFT = _odd_and_shift(COORDINATES)
+
+
+def tokens(hashes: np.ndarray) -> np.ndarray:
+    """64-bit min-hash tokens, each by a hash function of its own, so that they stay independent in small sets as well."""
+    value = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
+    for low in range(0, len(hashes), 512):
+        mixed = _ODD * hashes[low : low + 512]
+        mixed += _SHIFT
+        np.minimum(value, mixed.min(axis=1), out=value)
     value ^= value >> np.uint64(31)
     value *= np.uint64(0xD6E8FEB86659FD93)
     return value ^ (value >> np.uint64(32))
 
 
+def least_equal(similarity: float = SIMILARITY, coordinates: int = COORDINATES, missed: float = MISSED) -> int:
+    """The largest bound on equal tokens that a pair at the similarity stays under with at most this probability (binomial)."""
+    below = 0.0
+    for k in range(coordinates + 1):
+        below += math.comb(coordinates, k) * similarity**k * (1 - similarity) ** (coordinates - k)
+        if below > missed:
+            return k
+    return coordinates
+
+
 #: Coordinates that the first level samples
 FIRST = [(r * 53) % COORDINATES for r in range(RUNS)]
 
@@ -304,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stash(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
     reps = classes.where(F.col("sketch").isNotNull()).select("key", "sketch", "roots")
 
-    least = int(math.ceil((similarity - SLACK) * COORDINATES))
+    least = least_equal(similarity)
     nodes = _blocks(leaves(reps, similarity=similarity), "node", NODE_BLOCK).select("node", "part", "key")
     members = nodes.join(reps.select("key", "sketch"), "key").select("node", "part", "key", "sketch")
     members = members.repartition("node", "part").sortWithinPartitions("node", "part")

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from diurna.llm import jaccard_join as jj
@@ -80,3 +81,31 @@ def test_repeated_rows_and_empty_table(spark):
     got = sorted(((r["doc_id"] or 0), r["class_id"], r["n_copies"]) for r in jj.near_duplicates(docs).collect())
     assert got == [(0, None, 1), (1, 1, 3), (1, 1, 3), (2, 1, 3)]
     assert jj.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_short_texts_edited_at_their_ends(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(600):
+        n = rng.randrange(9, 61)
+        base = [f"g{k}w{j}" for j in range(n)]
+        edits = rng.randrange(1, 1 + max(1, (n - 4) // 9))
+        copy = base[edits:] if rng.random() < 0.3 else base[:-edits] + [f"g{k}n{j}" for j in range(edits if rng.random() < 0.5 else 0)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    rows += [(2000 + k, " ".join(f"t{k // 2}w{j}" for j in range(5 + k % 2))) for k in range(20)]
+    expected = brute(rows)
+    assert sum(e[3] > 0 for e in expected.values()) > 800
+    got = {r["doc_id"]: tuple(r)[1:] for r in jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected
+
+
+def test_estimate_of_small_sets():
+    rng = random.Random(6)
+    shared = {5: 4, 8: 7, 10: 8, 20: 16, 100: 80}
+    least = jj.least_equal()
+    for union, both in shared.items():
+        for _ in range(2000):
+            drawn = [rng.getrandbits(64) for _ in range(union)]
+            a = np.array(drawn[:both] + drawn[both :: 2], np.uint64)
+            b = np.array(drawn[:both] + drawn[both + 1 :: 2], np.uint64)
+            assert (jj.tokens(np.sort(a)) == jj.tokens(np.sort(b))).sum() >= least
