@@ -4,6 +4,10 @@ A text's lines are hashed; a rolling hash over the last ``ROLL`` line hashes end
 ``EXPECTED``. So boundaries depend on nearby lines alone and come back in step after lines are put in or taken
 out. A line of ``LONG_LINE`` or more words is a chunk of its own (a passage). Chunks of one shorter line never count.
 
+Passages wrapped over several lines are found at any line: from every line the fewest lines with ``LONG_LINE`` words
+are a window, and so are the fewest that end there. The windows inside a repeated run of so many words cover all of
+it, so the run goes whole. Windows overlap; all that follows treats them as chunks.
+
 Steps: chunk hashes are counted over all documents (pre-aggregated before the shuffle); for hashes that occur
 again, the chunks' bytes are grouped and compared, so that a hash alone never removes text; then each document drops
 the chunks whose bytes an earlier place has. The place that stays is the first one in the document of the smallest id.
@@ -64,17 +68,34 @@ def _counts(lines: list[str], a: int, b: int) -> bool:
     return b - a >= LEAST_LINES or lines[a].count(" ") >= LONG_LINE - 1 and len(lines[a].split()) >= LONG_LINE
 
 
+def windows(lines: list[str]) -> set[tuple[int, int]]:
+    """(first, end) of the runs of lines with LONG_LINE words that would have fewer without their last line, or without their first."""
+    sums = [0]
+    for line in lines:
+        sums.append(sums[-1] + len(line.split()))
+    out = set()
+    a = 0
+    for b in range(1, len(sums)):
+        # first lines from a on have too few words up to this end; those passed now have their fewest lines here
+        was = a
+        while a < b and sums[b] - sums[a] >= LONG_LINE:
+            a += 1
+        out.update((k, b) for k in range(was, a))
+        if a:
+            out.add((a - 1, b))
+    return out
+
+
 def _signed(n: int) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
 def hashed(text: str) -> Iterator[tuple[int, int, int, bytes]]:
-    """(first line, end, hash, bytes) of each chunk that counts."""
+    """(first line, end, hash, bytes) of each chunk that counts and of each window."""
     lines = text.split("\n")
-    for a, b in chunks(text):
-        if _counts(lines, a, b):
-            data = "\n".join(lines[a:b]).encode("utf-8", "surrogatepass")
-            yield a, b, _signed(xxhash.xxh64_intdigest(data)), data
+    for a, b in sorted({(a, b) for a, b in chunks(text) if _counts(lines, a, b)} | windows(lines)):
+        data = "\n".join(lines[a:b]).encode("utf-8", "surrogatepass")
+        yield a, b, _signed(xxhash.xxh64_intdigest(data)), data
 
 
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -108,7 +129,7 @@ def _bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _remove(text: str, drop) -> tuple[str, int, int, int]:
-    """(text left, lines before, lines removed, chunks removed); drop: (hash, second, own) of repeated chunks, own where this document's first one stays."""
+    """(text left, lines before, lines removed, chunks and windows removed); drop: (hash, second, own) of repeated chunks, own where this document's first one stays."""
     lines = text.split("\n")
     if drop is None or not len(drop):
         return text, len(lines), 0, 0
@@ -122,12 +143,8 @@ def _remove(text: str, drop) -> tuple[str, int, int, int]:
         if not own or data in seen:
             gone.append((a, b))
         seen.add(data)
-    at, kept = 0, []
-    for a, b in gone:
-        kept += lines[at:a]
-        at = b
-    kept += lines[at:]
-    return "\n".join(kept), len(lines), sum(b - a for a, b in gone), len(gone)
+    out = {k for a, b in gone for k in range(a, b)}
+    return "\n".join(x for k, x in enumerate(lines) if k not in out), len(lines), len(out), len(gone)
 
 
 def _cleaned(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:

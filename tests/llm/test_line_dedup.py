@@ -57,3 +57,19 @@ def test_repeated_rows_nulls_and_empty_table(spark):
     got = sorted((r["doc_id"] or 0, r["text"]) for r in line_dedup(docs).collect())
     assert got[0] == (0, text) and got[1] == got[2] == (1, text) and got[3][1] != text
     assert line_dedup(docs.limit(0)).count() == 0
+
+
+def test_wrapped_passages_go_whole(spark):
+    rng = random.Random(9)
+    rows, passages = [], {}
+    for k in range(120):
+        sizes = rng.choice([[20, 20, 20], [17] * 3, [20, 20, 20, 5], [3, 0, 48], [49, 0, 1], [10] * 8, [1] * 50, [30, 30]])
+        passage = "\n".join(" ".join(f"p{k}l{j}w{i}" for i in range(n)) for j, n in enumerate(sizes))
+        passages[k] = passage
+        for half in (0, 1):
+            own = [f"own {k} {half} {j}" for j in range(rng.randrange(1, 9))]
+            rows.append((2 * k + half, "\n".join([*own, passage, f"end {k} {half}"])))
+    got = {r["doc_id"]: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc, text in rows:
+        assert got[doc]["text"] == (text.replace(passages[doc // 2] + "\n", "") if doc % 2 else text)
+        assert got[doc]["lines_removed"] == (passages[doc // 2].count("\n") + 1 if doc % 2 else 0)
