@@ -41,9 +41,10 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = stash(decontaminate(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
-    return docs.select(COLUMNS).join(found.hint("shuffle_hash"), "doc_id", "left_anti").select(COLUMNS)
+    """Documents that hold no benchmark item. Rows that share an id stay or go together; rows without an id by their text."""
+    rows = docs.withColumn("_key", F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.concat(F.lit("t"), F.col("text")), F.lit("")))
+    found = stash(decontaminate(rows, read(spark, sf_dir, "benchmark"), id_col="_key").select("_key").distinct(), "contaminated")
+    return rows.join(found.hint("shuffle_hash"), "_key", "left_anti").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,3 +88,12 @@ def test_run(spark, world):
 
 def test_names():
     assert [n for n, _ in cp.STAGES] == ["quality_classifier", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "best_fit_packing"]
+
+
+def test_rows_without_an_id_that_hold_an_item_go(spark, tmp_path):
+    item = " ".join(f"item{k}" for k in range(60))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, item, "en", "s", 1), (None, "a clean text", "en", "s", 1), (None, None, "en", "s", 1), (1, item, "en", "s", 1), (2, "another text", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = cp.benchmark_removal(spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left) == [(0, ""), (0, "a clean text"), (2, "another text")]
