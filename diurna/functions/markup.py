@@ -34,10 +34,16 @@ class Element:
         return (x for x in self.inside if not isinstance(x, str))
 
     def descendants(self, name: str) -> Iterator[Element]:
-        for x in self.elements():
+        """In document order; pages nest as deep as they like, so no recursion here or below."""
+        ahead = [self.elements()]
+        while ahead:
+            x = next(ahead[-1], None)
+            if x is None:
+                ahead.pop()
+                continue
             if x.name == name:
                 yield x
-            yield from x.descendants(name)
+            ahead.append(x.elements())
 
     def emphasis(self) -> tuple[bool, bool]:
         """(bold, italic) by tag or inline style."""
@@ -102,16 +108,21 @@ def tidy(text: str) -> str:
     return re.sub(r" *\n *", "\n", re.sub(r"[ \t]+", " ", text)).strip()
 
 
-def _runs(element: Element, line_break: str, bold: bool = False, italic: bool = False) -> Iterator[tuple[str, tuple[bool, bool]]]:
+def _runs(element: Element, line_break: str) -> Iterator[tuple[str, tuple[bool, bool]]]:
     """(text, (bold, italic)) of what an element holds; its own emphasis doesn't count."""
-    for x in element.inside:
-        if isinstance(x, str):
+    ahead = [(iter(element.inside), (False, False))]
+    while ahead:
+        inside, (bold, italic) = ahead[-1]
+        x = next(inside, None)
+        if x is None:
+            ahead.pop()
+        elif isinstance(x, str):
             yield re.sub(r"\s+", " ", x), (bold, italic)
         elif x.name == "br":
             yield line_break, (bold, italic)
         elif x.name not in ("script", "style"):
             b, i = x.emphasis()
-            yield from _runs(x, line_break, bold or b, italic or i)
+            ahead.append((iter(x.inside), (bold or b, italic or i)))
 
 
 def inline(element: Element, line_break: str = "\n") -> str:
@@ -148,7 +159,12 @@ def _heading(element: Element) -> int:
 
 def blocks(root: Element) -> Iterator[tuple[str, str]]:
     """(kind, Markdown) of the blocks in order; kinds: text, table, heading, paragraph."""
-    for x in root.inside:
+    ahead = [iter(root.inside)]
+    while ahead:
+        x = next(ahead[-1], None)
+        if x is None:
+            ahead.pop()
+            continue
         if isinstance(x, str):
             kind, made = "text", tidy(x)
         elif x.name in ("script", "style"):
@@ -159,7 +175,7 @@ def blocks(root: Element) -> Iterator[tuple[str, str]]:
             kind, made = "heading", inline(x, " ")
             made = made and f"{'#' * level} {made}"
         elif x.name in ("div", "p") and any(y.name in BLOCKS for y in x.elements()):
-            yield from blocks(x)
+            ahead.append(iter(x.inside))
             continue
         else:
             kind, made = "paragraph", inline(x)

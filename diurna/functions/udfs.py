@@ -42,6 +42,15 @@ def _blocks():
     return run
 
 
+@cache
+def _lines():
+    @F.pandas_udf("array<struct<pos:bigint,start:bigint,leads:boolean,line:string>>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda s: None if s is None else [dict(zip(("pos", "start", "leads", "line"), row, strict=True)) for row in slicing.Lines(s).table()])
+
+    return run
+
+
 @cache
 def _located():
     @F.pandas_udf(BOUNDARY)
@@ -67,6 +76,11 @@ def html_blocks(column):
     return _blocks()(column)
 
 
+def text_lines(column):
+    """array<struct<pos, start, leads, line>> of a text's lines, for inline(); leads: blank lines and headings."""
+    return _lines()(column)
+
+
 def locate_title(text, title, following):
     """Boundaries of a note in a page-level text, as a struct."""
     return _located()(text, title, following)
@@ -83,6 +97,7 @@ def register(spark: SparkSession) -> None:
         "tables_to_md": _text(tables.tables_to_md),
         "fold_text": _text(lambda s: None if s is None else slicing.fold(s).text),
         "html_blocks": _blocks(),
+        "text_lines": _lines(),
         "locate_title": _located(),
         "cut_note": _cutter(),
     }

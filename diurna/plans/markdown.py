@@ -1,12 +1,13 @@
 """Notes to Markdown: the HTML route, and the routes through page images or PDF and an OCR engine.
 
 An engine is made once per Python worker by a factory and has convert(pages: list[bytes]) -> list[str], the Markdown of
-each page; it raises TimeoutError where it gives up. A splitter cuts pages out of an edition's PDF.
+each page; it raises TimeoutError where it gives up. A Markdown that comes with figures is a Page. A splitter cuts pages out of an edition's PDF.
 """
 
 from __future__ import annotations
 
 import importlib.util
+import shutil
 import subprocess
 import tempfile
 from collections.abc import Callable, Iterator
@@ -14,14 +15,26 @@ from pathlib import Path
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..functions import udfs
 from ..operators import assets as a
 from ..operators import index as ix
 
 
+class Page(str):
+    """A page's Markdown, with the figures that it links to below images/, by name."""
+
+    figures: dict[str, bytes] = {}
+
+    def __new__(cls, text: str, figures: dict[str, bytes] | None = None):
+        page = super().__new__(cls, text)
+        page.figures = figures or {}
+        return page
+
+
 class Engine(Protocol):
     def convert(self, pages: list[bytes]) -> list[str]: ...
 
@@ -40,9 +53,7 @@ class CommandEngine:
     """An OCR program that writes <out>/<name>/auto/<name>.md for a file; pages go to it one by one."""
 
     def __init__(self, command: list[str], suffix: str = ".jpg", timeout: float = 3600.0):
-        from shutil import which
-
-        if which(command[0]) is None:
+        if shutil.which(command[0]) is None:
             raise RuntimeError(f"{command[0]} is not installed: it is needed for notes without HTML")
         self.command, self.suffix, self.timeout = command, suffix, timeout
 
@@ -56,7 +67,9 @@ class CommandEngine:
                     subprocess.run([*self.command, "-p", str(source), "-o", folder], check=True, timeout=self.timeout, capture_output=True)
                 except subprocess.TimeoutExpired as error:
                     raise TimeoutError(f"no result after {self.timeout:g} s") from error
-                out.append(Path(folder, "page", "auto", "page.md").read_text(encoding="utf-8"))
+                made = Path(folder, "page", "auto")
+                figures = {str(f.relative_to(made / "images")): f.read_bytes() for f in sorted((made / "images").rglob("*")) if f.is_file()}
+                out.append(Page((made / "page.md").read_text(encoding="utf-8"), figures))
         return out
 
 
@@ -93,24 +106,52 @@ class ServerEngine:
         return [self.call(self.address, page) for page in pages]
 
 
-def ocr_pages(images: DataFrame, factory: Callable[[], Engine], key: str = "cod_nota") -> DataFrame:
-    """(key, pos, markdown, status) of images (key, pos, content); a page that times out or fails has no Markdown and says so."""
+FIGURES = "array<struct<name:string,content:binary>>"
+
+
+def ocr_pages(images: DataFrame, factory: Callable[[], Engine], key: str = "cod_nota", stem: str | None = None, folder: Column | None = None) -> DataFrame:
+    """(key, pos, markdown, status, folder, figures) of images (key, pos, content[, status]).
+
+    A page that times out or fails has no Markdown and says so; one without content keeps its status, or is a missing_page. An engine that
+    can't be made ends the job, before any page is read. Links to figures are led to ``folder``, nota-<key>_images/<page> unless given; a
+    column named ``stem`` names the page, else its position does.
+    """
     kind = images.schema[key].dataType.simpleString()
+    schema = f"key {kind}, pos long, markdown string, status string, folder string, figures {FIGURES}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        engine = None
         for batch in batches:
             rows = []
-            for k, pos, content in zip(batch["key"], batch["pos"], batch["content"], strict=True):
+            for k, pos, content, status, folder in batch.itertuples(index=False, name=None):
+                if content is None:
+                    rows.append((k, pos, None, status if isinstance(status, str) else "missing_page", None, None))
+                    continue
+                engine = engine or worker_engine(factory)
                 try:
-                    rows.append((k, pos, worker_engine(factory).convert([content])[0], "ok"))
+                    made = engine.convert([content])[0]
                 except TimeoutError:
-                    rows.append((k, pos, None, "timeout"))
+                    rows.append((k, pos, None, "timeout", None, None))
                 except Exception as error:  # noqa: BLE001  one page must not end the job
-                    rows.append((k, pos, None, f"error: {error}"))
-            yield pd.DataFrame(rows, columns=["key", "pos", "markdown", "status"])
+                    rows.append((k, pos, None, f"error: {error}", None, None))
+                else:
+                    figures = [{"name": n, "content": c} for n, c in getattr(made, "figures", {}).items()]
+                    rows.append((k, pos, str(made), "ok", folder if figures else None, figures))
+            yield pd.DataFrame(rows, columns=["key", "pos", "markdown", "status", "folder", "figures"])
+
+    status = F.when(F.col("status") != "ok", F.col("status")) if "status" in images.columns else F.lit(None).cast("string")
+    if folder is None:
+        folder = F.concat(F.lit("nota-"), F.col(key).cast("string"), F.lit("_images/"), F.col(stem) if stem else F.col("pos").cast("string"))
+    pages = images.select(F.col(key).alias("key"), F.col("pos").cast("long").alias("pos"), "content", status.alias("status"), folder.alias("folder"))
+    read = pages.mapInPandas(run, schema)
+    linked = F.when(F.col("folder").isNotNull(), sinks.relink_figures(F.col("markdown"), F.col("folder"))).otherwise(F.col("markdown"))
+    return read.withColumn("markdown", linked).withColumnRenamed("key", key)
 
-    pages = images.select(F.col(key).alias("key"), F.col("pos").cast("long").alias("pos"), "content")
-    return pages.mapInPandas(run, f"key {kind}, pos long, markdown string, status string").withColumnRenamed("key", key)
+
+def page_status(pages: DataFrame) -> DataFrame:
+    """(cod_nota, status): the status of each note's first page that is not ok, else ok."""
+    bad = F.col("status") != "ok"
+    return pages.groupBy("cod_nota").agg(F.coalesce(F.min_by(F.when(bad, F.col("status")), F.when(bad, F.col("pos"))), F.lit("ok")).alias("status"))
 
 
 def from_pages(pages: DataFrame, notes: DataFrame, min_confidence: float = 0.6, tables: bool = True) -> DataFrame:
@@ -119,9 +160,8 @@ def from_pages(pages: DataFrame, notes: DataFrame, min_confidence: float = 0.6,
     notes: cod_nota, titulo, titulo_siguiente. A note with a failed page has the first such page's status and no Markdown.
     """
     whole = ix.join_pages(pages, "cod_nota", "pos", "markdown")
-    state = pages.groupBy("cod_nota").agg(F.coalesce(F.min_by(F.when(F.col("status") != "ok", F.col("status")), F.when(F.col("status") != "ok", F.col("pos"))), F.lit("ok")).alias("status"))
     full = udfs.tables_to_md(F.col("markdown")) if tables else F.col("markdown")
-    rows = whole.select("cod_nota", full.alias("full_markdown")).join(state, "cod_nota").join(notes.select("cod_nota", "titulo", "titulo_siguiente"), "cod_nota")
+    rows = whole.select("cod_nota", full.alias("full_markdown")).join(page_status(pages), "cod_nota").join(notes.select("cod_nota", "titulo", "titulo_siguiente"), "cod_nota")
     cut = udfs.cut_note(F.col("full_markdown"), F.col("titulo"), F.col("titulo_siguiente"), min_confidence)
     return rows.select("cod_nota", F.when(F.col("status") == "ok", cut).alias("markdown"), "full_markdown", "status")
 
@@ -155,15 +195,19 @@ def pypdf_pages(pdf: bytes, pages: list[int]) -> bytes:
 
 
 def note_pdfs(notes: DataFrame, editions: DataFrame, split: Callable[[bytes, list[int]], bytes] = pypdf_pages) -> DataFrame:
-    """(cod_nota, content, status): each note's pages cut out of its edition's PDF; editions: (cod_diario, content)."""
-    spans = ix.page_spans(notes).select("cod_nota", "cod_diario", "pages").join(editions, "cod_diario")
+    """(cod_nota, content, status): each note's pages cut out of its edition's PDF.
+
+    notes: the whole index, or (cod_nota, cod_diario, pages) where the pages are known; editions: (cod_diario, content).
+    """
+    spans = notes if "pages" in notes.columns else ix.page_spans(notes)
+    spans = spans.select("cod_nota", "cod_diario", "pages").join(editions, "cod_diario")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for note, pages, content in zip(batch["cod_nota"], batch["pages"], batch["content"], strict=True):
                 try:
-                    rows.append((note, split(content, [int(p) for p in pages]), "ok"))
+                    rows.append((note, None, "missing_page") if content is None or not len(pages) else (note, split(content, [int(p) for p in pages]), "ok"))
                 except ValueError as error:
                     rows.append((note, None, f"error: {error}"))
             yield pd.DataFrame(rows, columns=["cod_nota", "content", "status"])
@@ -171,11 +215,17 @@ def note_pdfs(notes: DataFrame, editions: DataFrame, split: Callable[[bytes, lis
     return spans.select("cod_nota", "pages", "content").mapInPandas(run, "cod_nota long, content binary, status string")
 
 
-def build_markdown(details: DataFrame, notes: DataFrame, images: DataFrame | None = None, factory: Callable[[], Engine] | None = None, pdfs: DataFrame | None = None, source: str = "auto", min_confidence: float = 0.6) -> DataFrame:
+def pdf_pages(pdfs: DataFrame) -> DataFrame:
+    """(cod_nota, pos, content, status): a note's PDF is read as one page."""
+    return pdfs.select("cod_nota", F.lit(0).alias("pos"), "content", "status")
+
+
+def build_markdown(details: DataFrame, notes: DataFrame, images: DataFrame | None = None, factory: Callable[[], Engine] | None = None, pdfs: DataFrame | None = None, source: str = "auto", min_confidence: float = 0.6, read: dict[str, DataFrame] | None = None) -> DataFrame:
     """(cod_nota, route, markdown, full_markdown, status) of notes.
 
     details: cod_nota, cadena_contenido; notes: the whole index with stubs; images and pdfs: (cod_nota, pos, content) of the pages. Titles come
-    from the index, so that the next one of each note is known. A note whose route has no pages has status missing_pages.
+    from the index, so that the next one of each note is known. Pages that an engine has read already come by route in ``read``. A note whose route
+    has no pages has status missing_pages.
     """
     routed = a.with_route(details, source)
     html = routed.where("route = 'html'").select("cod_nota", "route", udfs.html_to_md(F.col("cadena_contenido")).alias("markdown"), F.lit(None).cast("string").alias("full_markdown"), F.lit("ok").alias("status"))
@@ -184,7 +234,10 @@ def build_markdown(details: DataFrame, notes: DataFrame, images: DataFrame | Non
     titles = ix.next_titled(notes).select("cod_nota", "titulo", "titulo_siguiente")
     for route, pages in (("image", images), ("pdf", pdfs)):
         wanted = routed.where(F.col("route") == route).select("cod_nota", "route")
-        if pages is None or factory is None:
+        known = (read or {}).get(route)
+        if known is not None:
+            made = from_pages(known.join(wanted.select("cod_nota"), "cod_nota", "left_semi"), titles, min_confidence)
+        elif pages is None or factory is None:
             made = wanted.select("cod_nota", F.lit(None).cast("string").alias("markdown"), F.lit(None).cast("string").alias("full_markdown"), F.lit(None).cast("string").alias("status"))
         else:
             made = from_pages(ocr_pages(pages.join(wanted.select("cod_nota"), "cod_nota", "left_semi"), factory), titles, min_confidence)

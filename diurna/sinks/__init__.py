@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import json
+import tarfile
 from collections.abc import Iterable
 
 import pandas as pd
@@ -52,8 +54,24 @@ def day_files(days: DataFrame) -> DataFrame:
     return days.select(day_file(F.col("fecha")).alias("path"), pretty_json(F.col("body")).alias("content"))
 
 
+def archive_files(members: DataFrame, key: str) -> DataFrame:
+    """(path, content): members (key, member, body) as one gzipped tar archive per key, in the order of their names; a year's day indexes are some hundreds."""
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with tarfile.open(fileobj=out, mode="w:gz") as archive:
+            for name, body in sorted(zip(rows["member"], rows["body"], strict=True)):
+                data = body.encode("utf-8")
+                entry = tarfile.TarInfo(name)
+                entry.size = len(data)
+                archive.addfile(entry, io.BytesIO(data))
+        return pd.DataFrame({"path": [f"{rows['key'].iloc[0]}.tgz"], "content": [out.getvalue()]})
+
+    return members.select(F.col(key).alias("key"), "member", "body").groupBy("key").applyInPandas(pack, "path string, content binary")
+
+
 def write_days(days: DataFrame, root: str) -> None:
-    """Day indexes as JSON lines by year; a day's rows replace those of earlier runs of its year only."""
+    """Day indexes as JSON lines by year. A year is replaced as a whole: days must hold all of each year that it holds any day of."""
     days.withColumn("anio", F.year("fecha")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("anio").json(root)
 
 
@@ -89,6 +107,17 @@ def image_files(images: DataFrame) -> DataFrame:
     return images.select(F.concat(F.lit("nota-"), F.col("cod_nota").cast("string"), F.lit("-"), "nombre_archivo", F.lit(".jpg")).alias("path"), "content")
 
 
+def note_pdf_files(pdfs: DataFrame) -> DataFrame:
+    """(path, content) of notes' own PDFs (cod_nota, content)."""
+    return pdfs.where("content is not null").select(F.concat(F.lit("nota-"), F.col("cod_nota").cast("string"), F.lit(".pdf")).alias("path"), "content")
+
+
+def figure_files(pages: DataFrame) -> DataFrame:
+    """(path, content) of the figures that an engine found on pages (folder, figures)."""
+    found = pages.where("folder is not null").select("folder", F.explode("figures").alias("f"))
+    return found.select(F.concat_ws("/", "folder", "f.name").alias("path"), F.col("f.content").alias("content"))
+
+
 def relink_figures(markdown: Column, folder: Column) -> Column:
     """Links to the OCR engine's figures, led to the folder they are copied to."""
     return F.replace(markdown, F.lit("](images/"), F.concat(F.lit("]("), folder, F.lit("/")))

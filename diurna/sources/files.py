@@ -28,10 +28,28 @@ def day_indexes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _json(spark, path, DAY_INDEX).withColumn("file", F.input_file_name())
 
 
+DETAIL = ["codNota as cod_nota", "titulo", "codEdicion as cod_edicion", "try_to_date(fecha, 'dd-MM-yyyy') as fecha", "codDiario as cod_diario", "pagina", "cadenaContenido as cadena_contenido"]
+
+
 def note_details(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(cod_nota, titulo, cod_edicion, fecha, cod_diario, pagina, cadena_contenido) of saved notes."""
-    n = _json(spark, path, NOTE_DETAIL).select("Nota.*")
-    return n.selectExpr("codNota as cod_nota", "titulo", "codEdicion as cod_edicion", "try_to_date(fecha, 'dd-MM-yyyy') as fecha", "codDiario as cod_diario", "pagina", "cadenaContenido as cadena_contenido")
+    return _json(spark, path, NOTE_DETAIL).select("Nota.*").selectExpr(*DETAIL)
+
+
+def answered_details(answers: DataFrame) -> DataFrame:
+    """The same of the service's answers (body)."""
+    return answers.where("body is not null").select(F.from_json(F.decode("body", "UTF-8"), NOTE_DETAIL).alias("d")).select("d.Nota.*").where("codNota is not null").selectExpr(*DETAIL)
+
+
+def answered_index(answers: DataFrame) -> DataFrame:
+    """All notes of the day indexes among the service's answers (body)."""
+    return explode_index(answers.where("body is not null").select(F.from_json(F.decode("body", "UTF-8"), DAY_INDEX).alias("d")).select("d.*"))
+
+
+def answered_images(answers: DataFrame) -> DataFrame:
+    """(cod_diario, pos, page, nombre_archivo) of the image listings among the service's answers (key, body)."""
+    rows = answers.where("body is not null").select(F.col("key").alias("cod_diario"), F.from_json(F.decode("body", "UTF-8"), IMAGE_LISTING).alias("d"))
+    return rows.select("cod_diario", F.posexplode("d.imagenesFS").alias("pos", "i")).selectExpr("cod_diario", "pos", "cast(i.pagina as bigint) as page", "i.nombreArchivo as nombre_archivo")
 
 
 def image_listings(spark: SparkSession, path: str | list[str]) -> DataFrame:

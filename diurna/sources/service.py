@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.assets import has_signature
+
 Transport = Callable[[str, float], tuple[int, bytes]]
 
 #: Paths below the service's base (fixed values); {date} is DD-MM-YYYY
@@ -22,7 +24,13 @@ PATHS = {
     "indicadores": "indicadores/{date}",
     "nota": "notas/nota/{id}",
     "imagenes": "imagenesFsRecurso/obtieneImagenesFS/{id}",
+    "pdf": "documentos/pdf/{id}",
+    "imagen": "copiaCertificada/{id}",
 }
+#: Endpoints whose key is a date, and those whose answer is a file of a kind
+BY_DATE = ("diario", "notas", "indicadores")
+BINARY = {"pdf": "pdf", "imagen": "jpeg"}
+INVALID = "invalid"
 OK, NO_EDITION, RETRY = "ok", "no_edition", "retry"
 
 
@@ -38,12 +46,12 @@ def http(url: str, timeout: float) -> tuple[int, bytes]:
 
 
 def request_url(base: str, endpoint: str, key: Column) -> Column:
-    """Address of a request; key is a date for the daily endpoints, a number for the others."""
+    """Address of a request; key is a date for the daily endpoints, EDITION/NAME for a page's image, a number for the others."""
     if endpoint not in PATHS:
         raise ValueError(f"endpoint is one of {', '.join(PATHS)}, not {endpoint!r}")
-    before, _, after = PATHS[endpoint].partition("{")
-    text = F.date_format(key, "dd-MM-yyyy") if after.startswith("date") else key.cast("string")
-    return F.concat(F.lit(f"{base.rstrip('/')}/{before}"), text)
+    text = F.date_format(key, "dd-MM-yyyy") if endpoint in BY_DATE else key.cast("string")
+    suffix = ".jpg" if endpoint == "imagen" else ""
+    return F.concat(F.lit(f"{base.rstrip('/')}/{PATHS[endpoint].partition('{')[0]}"), text, F.lit(suffix))
 
 
 def answer(url: str, transport: Transport, timeout: float) -> tuple[str, int | None, bytes | None, str | None]:
@@ -80,6 +88,21 @@ def fetch(requests: DataFrame, transport: Transport = http, timeout: float = 30.
     return requests.mapInPandas(run, f"{schema}, status string, http_status int, body binary, error string")
 
 
+def ask(keys: DataFrame, base: str, endpoint: str, at: str, transport: Transport = http, timeout: float | None = None, pause: float = 0.0, connections: int = 4) -> DataFrame:
+    """keys (key, ..) with status and body of their requests, each asked once: the answers are kept as Parquet at ``at``.
+
+    A file of another kind than the endpoint's, as an error page, has status invalid and no body.
+    """
+    kind = BINARY.get(endpoint)
+    requests = keys.withColumn("url", request_url(base, endpoint, F.col("key"))).repartition(connections, "key")
+    found = fetch(requests, transport, timeout or (60.0 if kind else 30.0), pause)
+    if kind:
+        good = (F.col("status") != OK) | has_signature(F.col("body"), kind)
+        found = found.withColumns({"status": F.when(good, F.col("status")).otherwise(INVALID), "body": F.when(good, F.col("body"))})
+    found.write.mode("overwrite").parquet(at)
+    return keys.sparkSession.read.parquet(at)
+
+
 def register(spark: SparkSession, transport: Transport = http, name: str = "gazette_service") -> None:
     """spark.read.format(name).option("base", ..).option("endpoint", ..).option("keys", "a,b,..").load(): one task per key."""
 

@@ -34,15 +34,33 @@ def fetch_days(days: DataFrame, base: str, transport: service.Transport = servic
     return service.fetch(requests, transport, timeout, pause).withColumn("body", F.decode("body", "UTF-8"))
 
 
-def update_archive(spark: SparkSession, root: str, ledger: str, as_of: str, first: str = FIRST_DAY, last: str | None = None, base: str = "", transport: service.Transport = service.http, pause: float = 0.5, connections: int = 4) -> Run:
-    """Fetch what is missing of a range, write one file a day below root, extend the ledger; the second run of a closed range does nothing."""
-    todo = ix.missing_days(spark, first, last or as_of, files.ledger(spark, ledger))
-    # the answers are needed three times, and asking again could answer differently
+def update_archive(spark: SparkSession, root: str, ledger: str, as_of: str, first: str = FIRST_DAY, last: str | None = None, base: str = "", transport: service.Transport = service.http, pause: float = 0.5, connections: int = 4, report_every: int = 100) -> Run:
+    """Fetch what is missing of a range, write one file a day below root, extend the ledger; the second run of a closed range does nothing.
+
+    Days are taken in steps of ``report_every``, each with its files, its ledger entries and a line in the log; an interrupt ends the run between
+    or within steps, and what the steps before it made stays and is reported.
+    """
     at = f"{root.rstrip('/')}/_answers"
-    fetch_days(todo, base, transport, pause, connections).write.mode("overwrite").parquet(at)
-    outcomes = spark.read.parquet(at)
-    sinks.export_files(sinks.day_files(outcomes.where(F.col("status") == service.OK)), root)
-    sinks.append_ledger(ix.closed_days(outcomes.where(F.col("status") != service.RETRY), as_of), ledger)
+    # a calendar has some ten thousands of days
+    days = [r["fecha"] for r in ix.missing_days(spark, first, last or as_of, files.ledger(spark, ledger)).orderBy("fecha").collect()]
+    spark.createDataFrame([], "fecha date, url string, status string, http_status int, body string, error string").write.mode("overwrite").parquet(at)
+    done = 0
+    try:
+        for low in range(0, len(days), report_every):
+            step = spark.createDataFrame([(d,) for d in days[low : low + report_every]], "fecha date")
+            # the answers are needed three times, and asking again could answer differently
+            part = f"{root.rstrip('/')}/_answers/step={low // report_every}"
+            fetch_days(step, base, transport, pause, connections).write.mode("overwrite").parquet(part)
+            outcomes = spark.read.parquet(part)
+            sinks.export_files(sinks.day_files(outcomes.where(F.col("status") == service.OK)), root)
+            sinks.append_ledger(ix.closed_days(outcomes.where(F.col("status") != service.RETRY), as_of), ledger)
+            done = min(len(days), low + report_every)
+            log.info("%s of %s days, up to %s", done, len(days), days[done - 1])
+    except KeyboardInterrupt:
+        log.warning("interrupted after %s of %s days", done, len(days))
+        days = days[:done]
+    steps = [f"{at}/step={k}" for k in range(-(-len(days) // report_every))]
+    outcomes = spark.read.parquet(*steps) if steps else spark.read.parquet(at)
     return Run(outcomes, ix.run_statistics(outcomes).first().asDict())
 
 

@@ -92,7 +92,7 @@ def test_grid_is_rectangular_and_keeps_all_texts(rows):
 def test_fold():
     folded = slicing.fold("  ÁRBOL **ﬁn**\n\n ½ [x]")
     assert folded.text == "arbol fin 1⁄2 x"
-    assert len(folded.offsets) == len(folded.text) and folded.offsets == sorted(folded.offsets)
+    assert len(folded.offsets) == len(folded.text) and folded.offsets.tolist() == sorted(folded.offsets.tolist())
     assert slicing.fold("# * |").text == ""
 
 
@@ -148,3 +148,42 @@ def test_a_cut_is_part_of_its_text(text, title, following):
 def test_boundaries_report_the_longest_block():
     found = slicing.boundaries("x " * 5000 + "some other words entirely", "unrelated heading of sixty characters")
     assert found.start_longest < 10
+
+
+def plain_fold(source):
+    """fold() character by character."""
+    text, offsets = [], []
+    for at, folded in enumerate(map(slicing._fold, source)):
+        if folded == " ":
+            if text and text[-1] != " ":
+                text.append(" ")
+                offsets.append(at)
+        else:
+            text += folded
+            offsets += [at] * len(folded)
+    return "".join(text), offsets
+
+
+@settings(max_examples=300, database=None)
+@given(st.text(st.sampled_from("aÁ \n\t#*ﬁ½¨ﷺ𝒜é \ud800İß"), max_size=40))
+def test_fold_character_by_character(source):
+    folded = slicing.fold(source)
+    assert (folded.text, folded.offsets.tolist()) == plain_fold(source)
+
+
+def test_deep_and_odd_markup():
+    deep = "<div>" * 5000 + "<p><b>" + "<i>" * 3000 + "x" + "</i>" * 3000 + "</b></p>" + "</div>" * 5000
+    assert markup.html_to_md(deep) == "***x***"
+    assert markup.html_to_md("<body>" + deep + "</body>") == "***x***"
+    odd = tables.tables_to_md(f"<table><tr><td colspan='{'9' * 5000}'>a</td><td colspan='1500'>b</td></tr></table>").strip().split("\n")
+    assert odd[0].count("|") == 1502 and odd[1].count("---") == 1501
+
+
+def test_table_pieces():
+    text = "a<table>b</table>c<TABLE x=1>d<table>e</table>f</table>g<table>h"
+    assert list(tables.pieces(text)) == [(False, "a"), (True, "<table>b</table>"), (False, "c"), (True, "<TABLE x=1>d<table>e</table>"), (False, "f</table>g<table>h")]
+
+
+def test_titles_one_behind_the_other():
+    folded = slicing.fold("same title\nx\nsame title\ny\nsame title")
+    assert [p.source for p in slicing.places(folded, ["same title", "Same Title", None, "same title"])] == [0, 13, None, 26]

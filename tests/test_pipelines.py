@@ -116,8 +116,9 @@ def test_service_source(spark):
     got = spark.read.format("gazette_test").option("base", "http://s/").option("endpoint", "notas").option("keys", "01-01-2024,02-01-2024,03-01-2024,09-01-2024").load()
     assert {r.key[:2]: r.status for r in got.collect()} == {"01": "ok", "02": "no_edition", "03": "retry", "09": "retry"}
     days = spark.sql("select date '2024-01-02' as d")
-    urls = [days.select(service.request_url("http://s/", e, F.col("d") if e in ("diario", "notas", "indicadores") else F.lit(5))).first()[0] for e in service.PATHS]
-    assert urls == ["http://s/diarios/porFecha/02-01-2024", "http://s/notas/02-01-2024", "http://s/indicadores/02-01-2024", "http://s/notas/nota/5", "http://s/imagenesFsRecurso/obtieneImagenesFS/5"]
+    urls = [days.select(service.request_url("http://s/", e, F.col("d") if e in service.BY_DATE else F.lit("MAT/p5" if e == "imagen" else 5))).first()[0] for e in service.PATHS]
+    assert urls[:3] == ["http://s/diarios/porFecha/02-01-2024", "http://s/notas/02-01-2024", "http://s/indicadores/02-01-2024"]
+    assert urls[3:] == ["http://s/notas/nota/5", "http://s/imagenesFsRecurso/obtieneImagenesFS/5", "http://s/documentos/pdf/5", "http://s/copiaCertificada/MAT/p5.jpg"]
     with pytest.raises(ValueError, match="endpoint"):
         service.request_url("b", "x", F.lit(1))
 
@@ -162,6 +163,96 @@ def test_note_pdfs(spark):
     assert got[1] == (b"%PDF[1, 2]", "ok") and got[2][1].startswith("error") and got[3][1].startswith("error")
 
 
+class FigureEngine:
+    def convert(self, pages):
+        return [markdown.Page(f"{p[3:].decode()}\n![](images/f.png)", {"f.png": p}) for p in pages]
+
+
+def whole_service(url, timeout):
+    """Notes 1 (HTML), 2 and 3 (pages only) of one edition; images of pages 1 to 3, the last of them broken; editions 70 and 71 as PDF, the second broken."""
+    answers = {
+        "notas/02-01-2024": index(*[entry(c, f"Aviso {c}", pagina=c, codDiario=70) for c in (1, 2, 3)]),
+        "imagenesFsRecurso/obtieneImagenesFS/70": {"imagenesFS": [{"codImagen": k, "pagina": k, "nombreArchivo": f"p{k}"} for k in (1, 2, 3)]},
+        "documentos/pdf/70": b"%PDF whole",
+        "documentos/pdf/71": b"<html>",
+        "copiaCertificada/MAT/p1.jpg": b"\xff\xd8\xff# Aviso 1",
+        "copiaCertificada/MAT/p2.jpg": b"\xff\xd8\xffend of one\n## Aviso 2\nbody of two",
+        "copiaCertificada/MAT/p3.jpg": b"<html>",
+        "pdf?archivo=02012024-MAT.pdf&anio=2024&repo=repositorio/": b"%PDF <table><tr><td>a</td></tr></table>",
+    }
+    for c in (1, 2, 3):
+        answers[f"notas/nota/{c}"] = {"Nota": {"codNota": c, "titulo": f"Aviso {c}", "codEdicion": "MAT", "fecha": "02-01-2024", "codDiario": 70, "pagina": c, "cadenaContenido": "<p>x" if c == 1 else ""}}
+    found = answers.get(url.removeprefix("http://s/"))
+    return (404, b"") if found is None else (200, found if isinstance(found, bytes) else json.dumps(found).encode())
+
+
+def cut_pages(pdf, pages):
+    if not pdf.startswith(b"%PDF") or max(pages) > 2:
+        raise ValueError("no such page")
+    return b"%PD" + f"lead\n## Aviso {pages[0]}\nfrom pages {pages}".encode()
+
+
+def test_notes_from_all_three_sources_by_command_line(spark, tmp_path, capsys):
+    def run(*args):
+        return cli.main([*args, "--outdir", str(tmp_path)], whole_service, spark, FigureEngine, cut_pages)
+
+    assert run("markdown", "1", "2", "--base", "http://s", "--keep-pages") == 1  # the third page of note 2 is broken
+    assert (tmp_path / "nota-1.md").read_text() == "x\n" and "2 (image): invalid" in capsys.readouterr().err
+    assert run("markdown", "1", "--base", "http://s", "--source", "image", "--keep-pages") == 0
+    assert (tmp_path / "nota-1.md").read_text() == "# Aviso 1\n![](nota-1_images/p1/f.png)\n\nend of one\n"
+    assert "## Aviso 2" in (tmp_path / "nota-1.full.md").read_text()
+    assert (tmp_path / "nota-1_images/p2/f.png").read_bytes().startswith(b"\xff\xd8\xffend")
+    assert run("markdown", "1", "2", "--base", "http://s", "--source", "pdf") == 1
+    assert (tmp_path / "nota-1.md").read_text().startswith("## Aviso 1\nfrom pages [1, 2]\n![](nota-1_images/0/f.png)")
+    assert "2 (pdf): error: no such page" in capsys.readouterr().err
+    assert run("note", "1", "2", "9", "--base", "http://s") == 1
+    assert json.loads((tmp_path / "nota-1.json").read_text())["Nota"]["cadenaContenido"] == "<p>x"
+    assert (tmp_path / "nota-2-p2.jpg").exists() and not (tmp_path / "nota-2-p3.jpg").exists() and "9: no such note" in capsys.readouterr().err
+    assert run("pages", "1", "--kind", "pdf", "--base", "http://s") == 0 and (tmp_path / "nota-1.pdf").read_bytes().startswith(b"%PDlead")
+    assert run("fetch", "70", "71", "--endpoint", "pdf", "--base", "http://s") == 1
+    assert (tmp_path / "70.pdf").exists() and not (tmp_path / "71.pdf").exists()
+    assert run("fetch", "MAT/p1", "--endpoint", "imagen", "--base", "http://s") == 0 and (tmp_path / "p1.jpg").exists()
+    assert run("edition", "2024-01-02", "--site", "http://s/pdf") == 0
+    assert (tmp_path / "02012024-MAT.pdf").exists() and "| a |" in (tmp_path / "02012024-MAT.md").read_text()
+    assert (tmp_path / "02012024-MAT_images/f.png").exists()
+    with pytest.raises(RuntimeError, match="not installed"):
+        cli.main(["markdown", "1", "--base", "http://s", "--engine", "no-such-program"], whole_service, spark)
+    with pytest.raises(SystemExit):
+        cli.main(["markdown", "1"], whole_service, spark)
+
+
+class DeadEngine:
+    made = 0
+
+    def __init__(self):
+        raise RuntimeError("the OCR server did not start")
+
+
+def test_an_engine_that_cannot_be_made_ends_the_job(spark):
+    pages = spark.createDataFrame([(1, 1, bytearray(b"x")), (2, 1, bytearray(b"y"))], "cod_nota long, pos int, content binary")
+    with pytest.raises(Exception, match="did not start"):
+        markdown.ocr_pages(pages, DeadEngine).collect()
+    empty = spark.createDataFrame([(1, 1, None, "invalid"), (2, 1, None, None)], "cod_nota long, pos int, content binary, status string")
+    assert {r.cod_nota: r.status for r in markdown.ocr_pages(empty, DeadEngine).collect()} == {1: "invalid", 2: "missing_page"}
+
+
+def test_an_interrupted_archive_keeps_what_is_done(spark, tmp_path, monkeypatch, caplog):
+    plain, steps = sinks.append_ledger, []
+
+    def append(days, path):
+        if steps:
+            raise KeyboardInterrupt
+        steps.append(1)
+        plain(days, path)
+
+    monkeypatch.setattr(archive.sinks, "append_ledger", append)
+    args = (spark, f"{tmp_path}/out", f"{tmp_path}/ledger", "2024-02-01", "2024-01-01", "2024-01-05", "http://s", transport, 0.0)
+    run = archive.update_archive(*args, report_every=2)
+    assert run.statistics["procesados"] == 2 and files.ledger(spark, f"{tmp_path}/ledger").count() == 2
+    monkeypatch.undo()
+    assert archive.update_archive(*args, report_every=2).statistics == {"procesados": 3, "con_indice": 1, "sin_edicion": 0, "errores": 2}
+
+
 def test_engines(tmp_path):
     with pytest.raises(RuntimeError, match="not installed"):
         markdown.CommandEngine(["no-such-program"])
@@ -169,6 +260,8 @@ def test_engines(tmp_path):
     script.write_text('#!/bin/sh\nmkdir -p "$4/page/auto" && printf "# read" > "$4/page/auto/page.md"\n')
     script.chmod(0o755)
     assert markdown.CommandEngine([str(script)]).convert([b"x"]) == ["# read"]
+    script.write_text('#!/bin/sh\nmkdir -p "$4/page/auto/images" && printf f > "$4/page/auto/images/a.png" && printf "![](images/a.png)" > "$4/page/auto/page.md"\n')
+    assert markdown.CommandEngine([str(script)]).convert([b"x"])[0].figures == {"a.png": b"f"}
     slow = tmp_path / "slow"
     slow.write_text("#!/bin/sh\nexec sleep 5\n")
     slow.chmod(0o755)

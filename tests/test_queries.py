@@ -9,7 +9,7 @@ duckdb = pytest.importorskip("duckdb")
 from diurna.plans import queries as q  # noqa: E402
 
 SF = os.environ.get("DIURNA_TEST_DATA", "/root/testdata/sf0.001")
-TABLES = ["documents", "pages", "nation", "customer"]
+TABLES = ["documents", "pages", "nation", "customer", "lineitem"]
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -32,7 +32,7 @@ def test_query(spark, sql, name):
     if name not in q.ORACLE_SQL:
         assert rows
         return
-    want = sql.execute(f"select {', '.join(got.columns)} from ({q.ORACLE_SQL[name]})").fetchall()
+    want = sql.execute(f"select {', '.join(f'"{c}"' for c in got.columns)} from ({q.ORACLE_SQL[name]})").fetchall()
     assert plain(map(tuple, rows)) == plain(want)
 
 
