@@ -29,17 +29,39 @@ def world(seed):
     return rng, text, [(k, text(rng.randrange(12, 40)).capitalize() + ". " + text(6) + ".") for k in range(45)]
 
 
-def test_retrieval_is_whole():
+def test_retrieval_is_whole(monkeypatch):
     rng, text, items = world(1)
-    index = dc.Index(items)
-    texts = [text(rng.randrange(0, 400)).split() for _ in range(60)]
+    texts = [text(rng.randrange(0, 400)) for _ in range(60)]
     for k in range(0, 60, 3):
-        texts[k][5:5] = dc.words_of(items[k % 45][1])
-    for threshold in (0.3, 0.6):
-        got = {(t, p, i): s for t, p, i, s in dc.search(index, texts, 50, threshold)}
-        want = {(t, p, i): s for t, w in enumerate(texts) for (p, i), s in brute(items, w, 50).items() if s >= threshold}
-        assert got.keys() == want.keys() and got
-        assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+        texts[k] = " ".join([*texts[k].split()[:5], items[k % 45][1], *texts[k].split()[5:]])
+    for block, cells in ((1, dc.CHUNK_CELLS), (8, 500), (64, dc.CHUNK_CELLS)):
+        monkeypatch.setattr(dc, "CHUNK_CELLS", cells)
+        index = dc.Index(items, block=block)
+        index.segment = 50
+        for threshold in (0.3, 0.6):
+            got = {(t, p, i): s for t, p, i, s in dc.search(index, [index.read(t) for t in texts], threshold)}
+            want = {(t, p, i): s for t, x in enumerate(texts) for (p, i), s in brute(items, dc.words_of(x), 50).items() if s >= threshold}
+            assert got.keys() == want.keys() and got
+            assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_blocks_are_passed_unread(monkeypatch):
+    _, text, items = world(4)
+    index, scored = dc.Index(items, block=1), []
+    monkeypatch.setattr(dc.Index, "scores", lambda self, terms, block, plain=dc.Index.scores: scored.append(block) or plain(self, terms, block))
+    found = list(dc.search(index, [index.read(items[7][1]), index.read(text(60))], 0.9))
+    assert [f[2] for f in found] == [7] and len(scored) < 5
+
+
+def test_reading_in_slices(monkeypatch):
+    _, text, items = world(5)
+    index = dc.Index(items)
+    whole = "\n".join([text(300), "ΑΣ ΣΑ İx", items[3][1]])
+    words = [index.terms.get(w, len(index.terms)) for w in dc.words_of(whole)]
+    for size in (1, 7, 100):
+        monkeypatch.setattr(dc, "SLICE", size)
+        assert index.read(whole).tolist() == words and "".join(dc.slices(whole)) == whole
+    assert index.read("").tolist() == []
 
 
 def test_planted_items(spark):
@@ -65,9 +87,19 @@ def test_planted_items(spark):
     assert dc.decontaminate(docs, benchmark.limit(0)).count() == 0
 
 
-def test_shards(spark, monkeypatch):
-    monkeypatch.setattr(dc, "SHARD_ITEMS", 10)
-    _, _, items = world(3)
-    docs = spark.createDataFrame([(k, f"before {t} after") for k, t in items], "doc_id long, text string")
-    got = {(r["doc_id"], r["item_id"]) for r in dc.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
-    assert {(k, k) for k, _ in items} <= got
+def test_shards_change_nothing(spark, monkeypatch):
+    rng, text, items = world(3)
+    rows = []
+    for k, (_, t) in enumerate(items * 4):
+        words = dc.words_of(t)
+        rows.append((k, " ".join([text(rng.randrange(40)), *words[: rng.randrange(len(words) // 2, len(words) + 1)], text(20)])))
+    rows += [(None, "before " + items[0][1]), (500, items[5][1] + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([*items, (None, items[5][1] + " more")], "item_id long, text string")
+    found = []
+    for most in (20_000, 10):
+        monkeypatch.setattr(dc, "SHARD_ITEMS", most)
+        found.append(sorted(dc.decontaminate(docs, benchmark, overlap=0.3).collect(), key=str))
+    assert found[0] == found[1] and len(found[0]) > 50
+    assert {(None, 0)} <= {(r["doc_id"], r["item_id"]) for r in found[0]}
+    assert None in {r["item_id"] for r in found[0]}
