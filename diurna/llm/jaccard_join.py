@@ -3,12 +3,13 @@
 Texts with the same words form one class; one representative of each goes on. A representative's set is embedded in
 ``COORDINATES`` min-hash tokens (a hash function each; the share of equal tokens estimates the Jaccard similarity,
 with the same error for sets of any size).
-Chosen path: a node samples coordinates, 1 / (similarity x coordinates) each, and splits its members by their tokens
-there; ``RUNS`` first-level samples repeat the search, so that a pair at the bound is missed by all of
-them with a probability under 1e-6. Nodes of at most ``SMALL`` members, nodes that a split leaves
-nearly whole, and whatever is left at ``DEPTH`` are searched by brute force over the tokens, which gives linked sets (never all pairs of one). Inside a linked set every pair is
-then compared exactly, by its shingles, in blocks: links are counted, not listed, so large sets of near copies
-make rows in proportion to their members.
+Chosen path: a run samples one coordinate and splits all texts by their tokens there; a node of over ``SMALL`` members samples
+coordinates of its own, 1 / (similarity x coordinates) each, and splits again, to whatever depth it takes. Small nodes, and nodes that
+a split leaves nearly whole, are searched by brute force over the tokens, which gives linked sets (never all pairs of one).
+Runs are repeated until a pair at the bound is missed by all of them with a probability of ``MISSED`` at most: repeats() gives
+their number by the depth of the recursion, and members of deep nodes get as many more runs as their depth asks for.
+
+Inside a linked set every pair is then compared exactly, by its shingles, in blocks: links are counted, not listed.
 """
 
 from __future__ import annotations
@@ -23,23 +24,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import release, small_batches, stash
 
 WORDS = 5
 SIMILARITY = 0.8
 COORDINATES = 128
-RUNS = 16
-SMALL = 128
-DEPTH = 4
+SMALL = 2048
+#: Most levels of the recursion; with every level a node loses members, so it ends by itself long before
+DEPTH = 40
 #: A node that keeps this share of its parent holds near copies of each other, which no token splits: it is searched as it is
 DENSE = 0.7
-#: Probability that the estimate drops a pair at the bound before the exact comparison
+#: Probability that all runs miss a pair at the bound, and that the estimate drops it before the exact comparison
 MISSED = 1e-6
 #: Members of one block in the exact comparison; of one task's node in the brute force
 BLOCK = 1024
 NODE_BLOCK = 8192
 _WORD = re.compile(r"\w+")
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 200_000
 
 
 class Shingler:
@@ -101,8 +102,22 @@ def least_equal(similarity: float = SIMILARITY, coordinates: int = COORDINATES,
     return coordinates
 
 
-#: Coordinates that the first level samples
-FIRST = [(r * 53) % COORDINATES for r in range(RUNS)]
+def repeats(depth: int, similarity: float = SIMILARITY, missed: float = MISSED) -> int:
+    """Runs after which a pair at the similarity has shared no node at this depth with at most this probability.
+
+    The pair's tokens agree in the run's coordinate with the similarity as probability. A split keeps the pair together if any of its
+    coordinates agrees: their number is nearly Poisson with mean 1 / similarity, and 1 where that gives none.
+    """
+    mean = 1 / similarity
+    split = similarity * math.exp(-mean) + 1 - math.exp(-mean) - math.exp(-mean) * (math.exp(mean * (1 - similarity)) - 1)
+    return min(COORDINATES, math.ceil(math.log(missed) / math.log(1 - similarity * split ** (depth - 1))))
+
+
+#: Coordinates in the order in which runs sample them
+ORDER = [(r * 53) % COORDINATES for r in range(COORDINATES)]
+#: Runs over all texts
+RUNS = repeats(1)
+FIRST = ORDER[:RUNS]
 
 
 def _sketch(words: int):
@@ -203,7 +218,8 @@ def connected(edges: DataFrame, what: str = "edges") -> DataFrame:
         # small star: neighbours below a key, and itself, move to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        edges = stash(small.where("a <> b").distinct(), what)
+        last, edges = edges, stash(small.where("a <> b").distinct(), what)
+        release(last)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -211,21 +227,20 @@ def connected(edges: DataFrame, what: str = "edges") -> DataFrame:
     return edges.select(F.col("a").alias("key"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
 
 
-def leaves(reps: DataFrame, runs: int = RUNS, depth: int = DEPTH, small: int = SMALL, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, key): the nodes of the recursion that are searched by brute force, of two members or more."""
-    token = lambda c: f"substring(sketch, 2 * ({c}) + 1, 2)"
-    first = "array(" + ", ".join(f"xxhash64({r}, substring(roots, {8 * r + 1}, 8))" for r in range(runs)) + ")"
-    level = reps.select("key", F.explode(F.expr(first)).alias("node"), F.lit(None).cast("long").alias("parent"))
-    out = None
-    for d in range(1, depth + 1):
+def _paths(members: DataFrame, first: str, reps: DataFrame, small: int, similarity: float) -> tuple[DataFrame, int, DataFrame | None]:
+    """(node, key) of the nodes to be searched, the depth reached, and the keys of nodes that were split; first: the array of members' nodes at the first level."""
+    level = members.select("key", F.explode(F.expr(first)).alias("node"), F.lit(None).cast("long").alias("parent"))
+    out = deep = None
+    for d in range(1, DEPTH + 1):
         sized = level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("parent").alias("of")).where("n > 1")
         level = stash(level.select("node", "key").join(sized, "node"), f"paths-{d}")
-        ends = (F.col("n") <= small) | F.coalesce(F.col("n") >= DENSE * F.col("of"), F.lit(False)) | F.lit(d == depth)
+        ends = (F.col("n") <= small) | F.coalesce(F.col("n") >= DENSE * F.col("of"), F.lit(False)) | F.lit(d == DEPTH)
         done = level.where(ends).select("node", "key")
         out = done if out is None else out.unionByName(done)
         split = level.where(~ends)
-        if d == depth or split.isEmpty():
-            return out
+        if d == DEPTH or split.isEmpty():
+            return out, d, deep
+        deep = split.select("key").distinct() if deep is None else deep
         share = int(1_000_000 / (similarity * COORDINATES))
         sampled = f"filter(sequence(0, {COORDINATES - 1}), i -> pmod(xxhash64(node, i), 1000000) < {share})"
         # a node that samples none takes one
@@ -234,8 +249,21 @@ def leaves(reps: DataFrame, runs: int = RUNS, depth: int = DEPTH, small: int = S
             split.select("node", "key", "n")
             .join(reps.select("key", "sketch"), "key")
             .select("key", "sketch", "node", "n", F.explode(F.expr(chosen)).alias("i"))
-            .select("key", F.expr(f"xxhash64(node, i, {token('i')})").alias("node"), F.col("n").alias("parent"))
+            .select("key", F.expr("xxhash64(node, i, substring(sketch, 2 * i + 1, 2))").alias("node"), F.col("n").alias("parent"))
         )
+    return out, DEPTH, deep
+
+
+def leaves(reps: DataFrame, small: int = SMALL, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, key): the nodes of all runs that are searched by brute force, of two members or more."""
+    first = "array(" + ", ".join(f"xxhash64({r}, substring(roots, {8 * r + 1}, 8))" for r in range(RUNS)) + ")"
+    out, depth, deep = _paths(reps, first, reps, small, similarity)
+    done = RUNS
+    while deep is not None and (needed := repeats(depth, similarity)) > done:
+        # whoever was in a node that was split takes more runs
+        more = "array(" + ", ".join(f"xxhash64({r}, substring(sketch, {2 * ORDER[r] + 1}, 2))" for r in range(done, needed)) + ")"
+        found, reached, deep = _paths(reps.join(deep, "key", "left_semi"), more, reps, small, similarity)
+        out, depth, done = out.unionByName(found), max(depth, reached), needed
     return out
 
 
@@ -252,19 +280,27 @@ def _blocks(frame: DataFrame, group: str, size: int) -> DataFrame:
     )
 
 
-def _exact(words: int, similarity: float):
-    """Rows sorted by (root, part): links of each member there, and spanning links."""
+def _sets(words: int):
+    """Texts' shingle hashes, once a text, for its places in blocks; rows that share an id may have other texts, which are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler = Shingler(words)
+        for batch in batches:
+            found = [shingler(t) for t in batch["text"].tolist()]
+            keep = [k for k, ((name, _), asked) in enumerate(zip(found, batch["words"].tolist(), strict=True)) if name == asked]
+            yield pd.DataFrame({"key": batch["key"].to_numpy()[keep], "shingles": pd.Series([found[k][1].tobytes() for k in keep], dtype=object)})
 
-    def compare(rows: pd.DataFrame, shingler: Shingler) -> pd.DataFrame:
-        seen: dict[int, int] = {}
-        sets, own = [], []
-        for key, words, text, mine in zip(rows["key"].tolist(), rows["words"], rows["text"], rows["_own"], strict=True):
-            found, hashes = shingler(text)
-            if found == words and key not in seen:  # rows that share an id may have other texts
-                seen[key] = len(sets)
-                sets.append(hashes)
-                own.append(mine)
-        n, keys, own = len(sets), np.array(list(seen), np.int64), np.array(own)
+    return run
+
+
+def _exact(similarity: float):
+    """Rows of one (root, part): links of each member there, and spanning links."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("key")  # rows that share an id and a text
+        keys, own = rows["key"].to_numpy(np.int64), rows["_own"].to_numpy()
+        sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+        n = len(sets)
         blocks, part = int(rows["_blocks"].iloc[0]), int(rows["part"].iloc[0])
         sizes = np.array([len(s) for s in sets], np.float64)
         both = np.zeros((n, n), np.float32)
@@ -296,9 +332,6 @@ def _exact(words: int, similarity: float):
                 root[np.isin(root, np.append(others, root[k]))] = min(root[k], others.min())
         return pd.DataFrame({"key": keys, "links": near.sum(axis=1).astype(np.int64), "root": keys[root]})
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return compare(rows, Shingler(words))
-
     return run
 
 
@@ -312,6 +345,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # ids travel through pandas as text: a null among them would make long ids floats
     named_texts = texts.withColumn("id", F.col("id").cast("string"))
@@ -327,15 +361,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.repartition("node", "part").sortWithinPartitions("node", "part")
     likely = connected(members.mapInPandas(_brute(least), "a long, b long"), "likely")
 
-    asked = stash(_blocks(likely.join(classes.select("key", "words", "copy_id"), "key"), "root", BLOCK).select("root", "part", "key", "words", "copy_id", "_own", "_blocks"), "asked")
-    wanted = asked.groupBy(F.col("copy_id").alias("id")).agg(F.collect_list(F.struct("root", "part", "key", "words", "_own", "_blocks")).alias("w"))
-    compared = (
-        texts.join(wanted.hint("shuffle_hash"), "id")
-        .select("text", F.explode("w").alias("w"))
-        .select("w.*", "text")
-        .groupBy("root", "part")
-        .applyInPandas(_exact(words, similarity), "key long, links long, root long")
-    )
+    asked = stash(likely.join(classes.select("key", "words", "copy_id"), "key"), "asked")
+    # every text is read at the row that names its class
+    sets = texts.join(asked.select(F.col("copy_id").alias("id"), "key", "words").hint("shuffle_hash"), "id").select("key", "words", "text").mapInPandas(_sets(words), "key long, shingles binary")
+    parts = _blocks(asked.select("key", "root"), "root", BLOCK).select("root", "part", "key", "_own", "_blocks")
+    compared = parts.join(sets.dropDuplicates(["key"]).hint("shuffle_hash"), "key").groupBy("root", "part").applyInPandas(_exact(similarity), "key long, links long, root long")
     compared = stash(compared, "compared")
     links = compared.groupBy("key").agg(F.sum("links").alias("links"))
     groups = connected(compared.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")), "groups")

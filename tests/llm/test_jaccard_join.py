@@ -56,7 +56,7 @@ def test_against_all_pairs(spark, monkeypatch, small):
     if small == 4:  # deep recursion and several blocks
         monkeypatch.setattr(jj, "BLOCK", 5)
         monkeypatch.setattr(jj, "NODE_BLOCK", 6)
-        monkeypatch.setattr(jj.leaves, "__defaults__", (jj.RUNS, jj.DEPTH, 4, jj.SIMILARITY))
+        monkeypatch.setattr(jj.leaves, "__defaults__", (4, jj.SIMILARITY))
     rows = corpus(7 + small)
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'k' as key", "2 as node", "3 as id")
     got = {r["doc_id"]: tuple(r)[1:] for r in jj.near_duplicates(docs).collect()}
