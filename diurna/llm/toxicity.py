@@ -1,47 +1,52 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Fitting, on at most ``TOXIC_SAMPLE`` and ``CLEAN_SAMPLE`` labelled rows: terms (words and their beginnings) that stand in
-toxic examples more often than chance allows (chi-squared) make the vocabulary; each example becomes a TF-IDF vector over it,
-and equal vectors one prototype with the weights of its toxic and clean examples (what each stands for in the labelled rows).
-Scoring, over every whole text: the blocks of prototypes with the largest possible cosines (sums of the terms' block maxima) are
-scored first, then those that can still hold one of the ``NEIGHBOURS`` nearest; all ties of the last one count. Votes weigh the square of
-the cosine relative to the nearest one's, beside a part of a vote for the rate among texts without any term of the vocabulary. The
-score is the toxic share of the votes; the nearest example is the evidence.
+Terms are a text's words and their beginnings, a beginning that is used often being further terms. A term's weight is its TF-IDF times its
+squared association with the label (chi-squared over the number of examples, less what chance gives on average): the supervised weighting
+tf.idf.chi2 with the usual correction of its bias. No term is chosen: all that two labelled examples have are weighed alike, and those
+that the label depends on by no more than chance have the weight 0.
+
+A term's list holds its examples in the order of their weights, in blocks of ``BLOCK``, the first of which is the block's largest. A query reads the
+blocks of all its terms in the order of what they can add to a cosine. What each list could still add bounds the cosines of all examples; blocks
+are read until few examples can be one of the ``NEIGHBOURS`` nearest, and their cosines are then worked out in full. The other blocks (of
+common words, which weigh little and have the longest lists) are never read. All ties of the last neighbour count. Neighbours vote with the square of their cosine, and
+the toxic share of the votes becomes a probability by isotonic regression over examples that were scored by an index without them. The nearest
+example is the evidence.
+
+Fitting uses at most ``TOXIC_SAMPLE`` and ``CLEAN_SAMPLE`` labelled rows; scoring reads every whole text.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_training_row
+from .common import is_training_row, small_batches, stash
 
 #: Most labelled rows of each kind that fitting uses; documented bounds
-TOXIC_SAMPLE = 4000
-CLEAN_SAMPLE = 8000
+TOXIC_SAMPLE = 1250
+CLEAN_SAMPLE = 2500
 #: Beginnings of words that are terms, besides the words themselves
-BEGINNINGS = (5, 6, 7)
-#: A beginning that stands so often in a text is a further term for each number reached: single chance hits and repeated use differ
-LEVELS = (2, 4, 8, 16)
-VOCABULARY = 2000
-#: Least chi-squared of a term: a share of the examples, so that chance finds of large samples stay out, and at least a fixed value
-LEAST_PHI2 = 0.02
-LEAST_CHI2 = 30.0
+BEGINNINGS = (4, 6)
+#: A beginning that a text has more than once, and at least once in so many words, is a further term for each number it meets: chance hits of long texts and repeated use differ
+LEVELS = (256, 128, 64, 32, 16)
 NEIGHBOURS = 10
-BLOCK = 64
-FIRST_BLOCKS = 4
-POWER = 2
-#: Votes, of the nearest example's weight, for the rate among texts without any term
-BASE_VOTES = 0.3
+BLOCK = 32
+#: Blocks that are read first; each further step reads as many again as were read so far
+STEP = 96
+#: Cosines are worked out in full once so few examples are left
+FEW = 96
+#: Parts of the examples, each of which is scored by an index of the others
+FOLDS = 4
 _WORD = re.compile(r"\w+")
 _CACHE = 200_000
+_SLACK = 1e-6
 
 
 def word_terms(word: str) -> list[str]:
@@ -49,141 +54,220 @@ def word_terms(word: str) -> list[str]:
     return [word + " ", *(word[:n] for n in BEGINNINGS if len(word) >= n)]
 
 
-def level_term(beginning: str, level: int) -> str:
-    return f"{beginning} x{level}"
+def number(term: str) -> int:
+    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
 
 
 def words_of(text: str | None) -> Counter:
     return Counter(_WORD.findall((text or "").lower()))
 
 
-def document_terms(text: str | None) -> set[str]:
-    """All terms of a text, levels included."""
+def text_terms(text: str | None) -> dict[str, int]:
+    """All terms of a text, levels included, with their counts (1 for a level)."""
     counts: dict[str, int] = {}
-    for word, n in words_of(text).items():
+    words = words_of(text)
+    total = words.total()
+    for word, n in words.items():
         for t in word_terms(word):
             counts[t] = counts.get(t, 0) + n
-    return {*counts, *(level_term(t, level) for t, n in counts.items() if n >= LEVELS[0] and t[-1] != " " for level in LEVELS if n >= level)}
+    levels = {f"{t} x{level}": 1 for t, n in counts.items() if n > 1 and t[-1] != " " for level in LEVELS if n * level >= total}
+    return counts | levels
 
 
 class Reader:
-    """Counts of vocabulary terms in a text."""
+    """Places in a vocabulary of the terms of texts."""
 
     def __init__(self, vocabulary: list[str]):
-        self.number = {t: k for k, t in enumerate(vocabulary)}
-        #: base term -> [(level, term)]; level 0 is the base term itself, with its count
-        self.levels: dict[str, list[tuple[int, int]]] = {}
-        for t, k in self.number.items():
+        place = {t: k for k, t in enumerate(vocabulary)}
+        #: term -> (its place or None, [(level, place)])
+        self.terms: dict[str, tuple] = {}
+        for t, k in place.items():
             base, _, level = t.rpartition(" x")
             if base and level.isdigit():
-                self.levels.setdefault(base, []).append((int(level), k))
+                self.terms.setdefault(base, (place.get(base), []))[1].append((int(level), k))
             else:
-                self.levels.setdefault(t, []).append((0, k))
+                self.terms.setdefault(t, (k, []))
         self.known: dict[str, tuple[str, ...]] = {}
 
     def _terms(self, word: str) -> tuple[str, ...]:
         if len(self.known) >= _CACHE:
             self.known.clear()
-        found = tuple(t for t in word_terms(word) if t in self.levels)
+        found = tuple(t for t in word_terms(word) if t in self.terms)
         if len(word) <= 64:
             self.known[word] = found
         return found
 
-    def __call__(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        """Sorted (term, count)."""
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, counts) of a whole text, in no order."""
         get, new, counts = self.known.get, self._terms, {}
-        for word, n in words_of(text).items():
-            terms = get(word)
-            if terms is None:
-                terms = new(word)
-            for t in terms:
+        words = words_of(text)
+        total = words.total()
+        for word, n in words.items():
+            found = get(word)
+            if found is None:
+                found = new(word)
+            for t in found:
                 counts[t] = counts.get(t, 0) + n
-        return tuple(sorted((k, 1 if level else n) for t, n in counts.items() for level, k in self.levels[t] if n >= level))
+        terms, times = [], []
+        for t, n in counts.items():
+            base, levels = self.terms[t]
+            if base is not None:
+                terms.append(base)
+                times.append(n)
+            if n > 1:
+                for level, k in levels:
+                    if n * level >= total:
+                        terms.append(k)
+                        times.append(1)
+        return np.array(terms, np.int64), np.array(times, np.int64)
+
+
+def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers from each start up to its end."""
+    n = end - start
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
 
 
 class Index:
-    """Prototypes of labelled examples; examples: (id, (term, count) pairs, toxic)."""
-
-    def __init__(self, terms: int, examples: list[tuple[int, tuple, bool]], toxic_weight: float = 1.0, clean_weight: float = 1.0):
-        n = len(examples)
-        df = np.zeros(terms)
-        for _, vector, _ in examples:
-            for t, _c in vector:
-                df[t] += 1
-        self.idf = np.log((n + 1) / (df + 1)) + 1
-        groups: dict[tuple, list] = {}
-        for i, vector, toxic in sorted(examples, key=lambda e: (e[1], e[0])):
-            group = groups.setdefault(vector, [0.0, 0.0, i])
-            group[not toxic] += toxic_weight if toxic else clean_weight
-        none = groups.pop((), [0.0, 0.0, 0])
-        #: Rate among examples without any term
-        self.base = (none[0] + 0.01) / (none[0] + none[1] + 1.0)
-        self.weight = np.array([g[:2] for g in groups.values()]).reshape(-1, 2)
-        self.example = np.array([g[2] for g in groups.values()], np.int64)
-        p = len(groups)
-        self.blocks = -(-p // BLOCK)
-        item, term, value = [], [], []
-        for k, vector in enumerate(groups):
-            w = self.vector(vector)
-            item += [k] * len(vector)
-            term += [t for t, _ in vector]
-            value += w.tolist()
-        self.item, self.term, self.value = np.array(item, np.int64), np.array(term, np.int64), np.array(value)
-        self.block_max = np.zeros((terms, self.blocks))
-        np.maximum.at(self.block_max, (self.term, self.item // BLOCK), self.value)
-        # postings by term
-        order = np.argsort(self.term, kind="stable")
-        self.item, self.term, self.value = self.item[order], self.term[order], self.value[order]
-        self.start = np.searchsorted(self.term, np.arange(terms + 1))
-        self.size = p
-
-    def vector(self, counts: tuple) -> np.ndarray:
-        w = np.array([(1 + math.log(c)) * self.idf[t] for t, c in counts])
-        return w / np.sqrt((w * w).sum())
-
-    def nearest(self, counts: tuple, neighbours: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """(prototype, cosine) of the nearest prototypes: as many as hold so many examples' weight, and all ties of the last one."""
-        terms, w = np.array([t for t, _ in counts], np.int64), self.vector(counts)
-        bound = w @ self.block_max[terms]
-        items = np.concatenate([self.item[self.start[t] : self.start[t + 1]] for t in terms])
-        parts = np.concatenate([self.value[self.start[t] : self.start[t + 1]] * x for t, x in zip(terms, w, strict=True)])
-        found, cosines, least = [], [], 0.0
-        # the most promising blocks first; then, all at once, those that can still hold a neighbour
-        first = np.zeros(self.blocks, bool)
-        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
-        for turn in (True, False):
-            visit = (first == turn) & (bound > 0) & (bound >= least - 1e-12)
-            there = visit[items // BLOCK]
-            cosine = np.bincount(items[there], parts[there], self.size)
-            near = np.flatnonzero((cosine > 0) & (cosine >= least - 1e-12))
-            found.append(near)
-            cosines.append(cosine[near])
-            if turn:
-                least = self._least(near, cosine[near], neighbours)
-        least = self._least(np.concatenate(found), np.concatenate(cosines), neighbours)
-        found, cosines = np.concatenate(found), np.concatenate(cosines)
-        keep = cosines >= least - 1e-12
-        found, cosines = found[keep], cosines[keep]
-        order = np.lexsort((found, -cosines))
+    """Labelled examples: vectors by blocks, bounds by terms. examples: (id, (terms, counts), toxic), terms as 64-bit numbers."""
+
+    def __init__(self, examples: list[tuple[str, tuple[np.ndarray, np.ndarray], bool]], toxic_weight: float = 1.0, clean_weight: float = 1.0):
+        examples = sorted(examples, key=lambda e: e[0])
+        toxic = np.array([e[2] for e in examples], bool)
+        lengths = np.array([len(e[1][0]) for e in examples], np.int64)
+        hashes = np.concatenate([e[1][0] for e in examples]) if examples else np.empty(0, np.uint64)
+        counts = np.concatenate([e[1][1] for e in examples]) if examples else np.empty(0, np.int64)
+        row = np.repeat(np.arange(len(examples)), lengths)
+        self.vocabulary, term, df = np.unique(hashes, return_inverse=True, return_counts=True) if len(hashes) else (hashes, np.empty(0, np.int64), np.empty(0, np.int64))
+        # a term of one example links no two
+        shared = df > 1
+        place = np.cumsum(shared) - 1
+        keep = shared[term]
+        self.vocabulary, term, counts, row = self.vocabulary[shared], place[term[keep]], counts[keep], row[keep]
+        #: The terms themselves, where somebody has asked for them: see name_terms()
+        self.names: list[str] = []
+        v, n, a_all = len(self.vocabulary), float(len(examples)), float(toxic.sum())
+        with_term = df[shared].astype(np.float64)
+        a = np.bincount(term, toxic[row], v)
+        cross = a * (n - a_all) - (with_term - a) * a_all
+        even = with_term * (n - with_term) * a_all * (n - a_all)
+        # chi-squared / n, less what it is by chance
+        association = np.maximum(0.0, np.divide(cross * cross, even, out=np.zeros(v), where=even > 0) - 1 / max(1.0, n - 1))
+        #: Weight of a term that a text has once
+        self.weight = (np.log((n + 1) / (with_term + 1)) + 1) * association
+        # terms that the label doesn't depend on by as much as chance gives add nothing to any cosine
+        told = self.weight > 0
+        place = np.cumsum(told) - 1
+        keep = told[term]
+        self.vocabulary, self.weight, term, counts, row = self.vocabulary[told], self.weight[told], place[term[keep]], counts[keep], row[keep]
+        v = len(self.vocabulary)
+        value = (1 + np.log(counts)) * self.weight[term]
+        norm = np.sqrt(np.bincount(row, value * value, len(examples)))
+        value = value / np.where(norm > 0, norm, 1)[row]
+        self.ids = [e[0] for e in examples]
+        self.votes = np.where(toxic[:, None], [[toxic_weight, 0.0]], [[0.0, clean_weight]])
+        self.there = norm > 0
+        # lists of terms, the largest weights first
+        by_term = np.lexsort((row, -value, term))
+        self.item, self.impact = row[by_term].astype(np.int32), value[by_term].astype(np.float32)
+        self.start = np.searchsorted(term[by_term], np.arange(v + 1))
+        # vectors of examples
+        by_row = np.argsort(row, kind="stable")
+        self.term, self.value = term[by_row].astype(np.int32), value[by_row].astype(np.float32)
+        self.vector = np.searchsorted(row[by_row], np.arange(len(examples) + 1))
+        bare = self.votes[~self.there].sum(axis=0)
+        every = self.votes.sum(axis=0)
+        #: Toxic rate of all examples, and of those that a text without any term is like
+        self.rate = float(every[0] / every.sum()) if examples else 0.0
+        self.base = float((bare[0] + self.rate) / (bare.sum() + 1))
+        self.calibration: tuple[np.ndarray, np.ndarray] | None = None
+        self._query = np.zeros(v, np.float64)
+
+    def __getstate__(self) -> dict:
+        return {k: x for k, x in self.__dict__.items() if k != "_query"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._query = np.zeros(len(self.vocabulary), np.float64)
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """(example, cosine) of the nearest examples: as many as hold so many examples' weight, and all ties of the last one."""
+        weight = (1 + np.log(counts)) * self.weight[terms]
+        terms, weight = terms[weight > 0], weight[weight > 0]
+        if not len(terms):
+            return np.empty(0, np.int64), np.empty(0)
+        weight = weight / np.sqrt((weight * weight).sum())
+        start, end = self.start[terms], self.start[terms + 1]
+        blocks = -(-(end - start) // BLOCK)
+        last = np.cumsum(blocks) - 1
+        of = np.repeat(np.arange(len(terms)), blocks)
+        first = start[of] + (np.arange(len(of)) - np.repeat(last + 1 - blocks, blocks)) * BLOCK
+        adds = weight[of] * self.impact[first]
+        after = np.append(adds[1:], 0.0)
+        after[last] = 0.0
+        order = np.argsort(-adds, kind="stable")
+        # what all lists together could still add after so many blocks
+        left = np.concatenate([[adds[last + 1 - blocks].sum()], np.cumsum(after[order] - adds[order]) + adds[last + 1 - blocks].sum()]) + _SLACK
+        partial, low, high = np.zeros(len(self.ids)), 0, min(STEP, len(order))
+        while True:
+            read = order[low:high]
+            till = np.minimum(first[read] + BLOCK, end[of[read]])
+            postings = _ranges(first[read], till)
+            partial += np.bincount(self.item[postings], self.impact[postings] * np.repeat(weight[of[read]], till - first[read]), len(partial))
+            # an example's votes weigh 1 at least
+            top = np.argpartition(-partial, neighbours)[:neighbours] if len(partial) > neighbours else np.arange(len(partial))
+            least = self._least(top, partial[top], neighbours) - _SLACK
+            alive = np.flatnonzero(partial + left[high] >= max(least, 2 * _SLACK))
+            if len(alive) <= FEW or high == len(order):
+                break
+            low, high = high, min(2 * high, len(order))
+        self._query[terms] = weight
+        begin, end = self.vector[alive], self.vector[alive + 1]
+        entries = _ranges(begin, end)
+        cosines = np.bincount(np.repeat(np.arange(len(alive)), end - begin), self.value[entries] * self._query[self.term[entries]], len(alive))
+        self._query[terms] = 0
+        least = max(self._least(alive, cosines, neighbours) - _SLACK, _SLACK)
+        found, cosines = alive[cosines >= least], cosines[cosines >= least]
+        order = np.lexsort((found, -np.round(cosines, 6)))
         return found[order], cosines[order]
 
     def _least(self, found: np.ndarray, cosines: np.ndarray, neighbours: int) -> float:
         order = np.argsort(-cosines, kind="stable")
-        held = np.cumsum(self.weight[found[order]].sum(axis=1))
+        held = np.cumsum(self.votes[found[order]].sum(axis=1))
         k = int(np.searchsorted(held, neighbours))
         return float(cosines[order[k]]) if k < len(order) else 0.0
 
-    def score(self, counts: tuple) -> tuple[float, int | None, float]:
-        """(score, nearest example, its cosine)"""
-        if not counts:
-            return self.base, None, 0.0
-        found, cosines = self.nearest(counts)
+    def share(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float | None, int | None, float]:
+        """(toxic share of the votes, nearest example, its cosine); no share without a neighbour."""
+        found, cosines = self.nearest(terms, counts)
         if not len(found):
-            return self.base, None, 0.0
-        votes = ((cosines / cosines[0]) ** POWER)[:, None] * self.weight[found]
+            return None, None, 0.0
+        votes = ((cosines / cosines[0]) ** 2)[:, None] * self.votes[found]
         toxic, clean = votes.sum(axis=0)
-        score = (toxic + self.base * BASE_VOTES) / (toxic + clean + BASE_VOTES)
-        return float(score), int(self.example[found[0]]), float(cosines[0])
+        return float(toxic / (toxic + clean)), int(found[0]), float(min(1.0, cosines[0]))
+
+    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, str | None, float]:
+        """(score, id of the nearest example, its cosine)"""
+        share, nearest, cosine = self.share(terms, counts)
+        if share is None:
+            return self.base, None, 0.0
+        if self.calibration is not None:
+            share = float(np.interp(share, *self.calibration))
+        return share, self.ids[nearest], cosine
+
+
+def isotonic(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """(shares, probabilities): the non-decreasing step function next to the labels, each step's rate with one example of the overall rate added; to be interpolated."""
+    order = np.argsort(shares, kind="stable")
+    steps: list[list[float]] = []  # weight, toxic weight, weighted sum of shares
+    for k in order.tolist():
+        steps.append([weights[k], weights[k] * toxic[k], weights[k] * shares[k]])
+        while len(steps) > 1 and (steps[-2][1] * steps[-1][0] >= steps[-1][1] * steps[-2][0] or steps[-1][2] * steps[-2][0] == steps[-2][2] * steps[-1][0]):
+            last = steps.pop()
+            steps[-1] = [a + b for a, b in zip(steps[-1], last, strict=True)]
+    x = np.array([s[2] / s[0] for s in steps])
+    p = np.array([(s[1] + rate) / (s[0] + 1) for s in steps])
+    return x, np.maximum.accumulate(p)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, toxic_sample: int, clean_sample: int) -> tuple[DataFrame, int, int]:
@@ -196,87 +280,108 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     counts = dict(marked.groupBy("toxic").count().collect())
     take = lambda kind, n: marked.where(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(n)
     ids = take(1, toxic_sample).unionByName(take(0, clean_sample))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids), "id"), counts.get(1, 0), counts.get(0, 0)
-
-
-def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(term, toxic, clean): documents of a task that have the term, so that little is shuffled."""
-    total: dict[str, list[int]] = {}
-    for batch in batches:
-        for text, toxic in zip(batch["text"].tolist(), batch["toxic"].tolist(), strict=True):
-            for term in document_terms(text):
-                total.setdefault(term, [0, 0])[not toxic] += 1
-        if len(total) > 200_000:
-            yield pd.DataFrame([(t, *c) for t, c in total.items()], columns=["term", "toxic", "clean"])
-            total = {}
-    yield pd.DataFrame([(t, *c) for t, c in total.items()], columns=["term", "toxic", "clean"])
-
-
-def vocabulary(sample: DataFrame, toxic: int, clean: int) -> list[str]:
-    """Terms that stand in more toxic than clean examples, by chi-squared; at most VOCABULARY."""
-    counts = sample.select("text", "toxic").mapInPandas(_document_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    n = float(toxic + clean)
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    cross = a * (clean - b) - b * (toxic - a)
-    chi2 = n * cross * cross / ((a + b) * (n - a - b) * toxic * clean)
-    chosen = counts.where((a / toxic > b / clean) & (a + b < n)).withColumn("chi2", chi2).where(F.col("chi2") >= max(LEAST_CHI2, LEAST_PHI2 * n))
-    return sorted(r["term"] for r in chosen.orderBy(F.desc("chi2"), "term").limit(VOCABULARY).select("term").collect())
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_sample: int = TOXIC_SAMPLE, clean_sample: int = CLEAN_SAMPLE) -> tuple[list[str], Index]:
-    sample, toxic, clean = labelled(docs, labels, id_col, text_col, label_col, toxic_sample, clean_sample)
-    kept = {1: min(toxic, toxic_sample), 0: min(clean, clean_sample)}
-    terms = vocabulary(sample, kept[1], kept[0]) if kept[1] and kept[0] else []
-    shared = sample.sparkSession.sparkContext.broadcast(terms)
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # of the rows that share an id the one with the least text, so that no more rows come than were asked for
+    sample = texts.join(F.broadcast(ids), "id").groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    return sample, counts.get(1, 0), counts.get(0, 0)
+
+
+def numbered(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(terms as 64-bit numbers, counts) of a text."""
+    found = text_terms(text)
+    return np.array([number(t) for t in found], np.uint64), np.array(list(found.values()), np.int64)
 
-    @F.pandas_udf("array<array<int>>")
-    def read(texts: pd.Series) -> pd.Series:
-        reader = Reader(shared.value)
-        return texts.map(lambda t: [list(p) for p in reader(t)])
 
-    rows = sample.select("id", "toxic", read("text").alias("v")).collect()
-    examples = [(r["id"], tuple(tuple(p) for p in r["v"]), r["toxic"] == 1) for r in rows]
+def examples_of(sample: DataFrame) -> list[tuple[str, tuple[np.ndarray, np.ndarray], bool]]:
+    @F.pandas_udf("struct<terms:binary,counts:binary>")
+    def read(texts: pd.Series) -> pd.DataFrame:
+        found = [numbered(t) for t in texts]
+        return pd.DataFrame({"terms": [t.tobytes() for t, _ in found], "counts": [c.astype("<u4").tobytes() for _, c in found]})
+
+    rows = sample.select(F.col("id").cast("string").alias("id"), "toxic", read("text").alias("v")).collect()
+    return [(r["id"], (np.frombuffer(r["v"]["terms"], np.uint64), np.frombuffer(r["v"]["counts"], "<u4").astype(np.int64)), r["toxic"] == 1) for r in rows]
+
+
+def name_terms(sample: DataFrame, index: Index) -> None:
+    """Give the index its terms as text: the sample is read once more, and each term that is in the vocabulary comes once."""
+    shared = sample.sparkSession.sparkContext.broadcast(index.vocabulary)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        places = {h: k for k, h in enumerate(shared.value.tolist())}
+        seen: set[str] = set()
+        for batch in batches:
+            for text in batch["text"].tolist():
+                seen.update(text_terms(text))
+        found = [(places[h], t) for t in seen if (h := number(t)) in places]
+        yield pd.DataFrame(found, columns=["place", "term"])
+
+    names = dict(sample.select("text").mapInPandas(run, "place long, term string").groupBy("place").agg(F.min("term").alias("term")).collect())
+    index.names = [names[k] for k in range(len(index.vocabulary))]
+
+
+def calibrate(index: Index, examples: list, toxic_weight: float, clean_weight: float, folds: int = FOLDS) -> None:
+    """Give the index a calibration: each part of the examples is scored by an index of the others, weights included."""
+    shares, toxic = [], []
+    for fold in range(folds):
+        apart = [e for e in examples if xxhash.xxh32_intdigest(e[0]) % folds == fold]
+        rest = [e for e in examples if xxhash.xxh32_intdigest(e[0]) % folds != fold]
+        if not apart or len({e[2] for e in rest}) < 2:
+            continue
+        own = Index(rest, toxic_weight, clean_weight)
+        for _, (hashes, counts), label in apart:
+            at = np.searchsorted(own.vocabulary, hashes)
+            known = np.zeros(len(hashes), bool)
+            inside = at < len(own.vocabulary)
+            known[inside] = own.vocabulary[at[inside]] == hashes[inside]
+            share, _, _ = own.share(at[known], counts[known])
+            if share is not None:
+                shares.append(share)
+                toxic.append(label)
+    if len(set(toxic)) == 2:
+        toxic = np.array(toxic, np.float64)
+        index.calibration = isotonic(np.array(shares), toxic, np.where(toxic > 0, toxic_weight, clean_weight), index.rate)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_sample: int = TOXIC_SAMPLE, clean_sample: int = CLEAN_SAMPLE) -> Index:
+    sample, toxic, clean = labelled(docs, labels, id_col, text_col, label_col, toxic_sample, clean_sample)
+    sample = stash(sample, "labelled")
+    examples = examples_of(sample)
     # what an example of each kind stands for, relative to the kind that was sampled less thinly
-    per_toxic, per_clean = max(1.0, toxic / max(1, kept[1])), max(1.0, clean / max(1, kept[0]))
+    per_toxic, per_clean = max(1.0, toxic / max(1, toxic_sample)), max(1.0, clean / max(1, clean_sample))
     least = min(per_toxic, per_clean)
-    return terms, Index(len(terms), examples, per_toxic / least, per_clean / least)
+    index = Index(examples, per_toxic / least, per_clean / least)
+    calibrate(index, examples, per_toxic / least, per_clean / least)
+    name_terms(sample, index)
+    return index
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.7) -> DataFrame:
-    """One row per input row: id_col, held_out, score, predicted, nearest_id and nearest_cosine (the evidence; null and 0 without any term).
+    """One row per input row: id_col, held_out, score, predicted, nearest_id and nearest_cosine (the evidence; null and 0 where no example shares a term).
 
     Labels are read only from training rows (crc32 of the id modulo 3 is not 1). Null and empty texts get the rate of
-    texts without any term. Repeated rows are scored each for itself; of an id labelled twice the larger label holds. Without labels every text gets the
-    same small score. Other columns are ignored; a table without rows gives none.
+    examples without any term. Repeated rows are scored each for itself; of an id labelled twice the larger label holds, and of an id with
+    several texts the least one is its example. Without labels of both kinds every text gets the same score. Very long texts are
+    read whole. Other columns are ignored; a table without rows gives none.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms, index = shared.value
-        reader, known = Reader(terms), {}
+        index = shared.value
+        reader = Reader(index.names)
         for batch in batches:
-            rows = []
-            for text in batch["text"].tolist():
-                counts = reader(text)
-                found = known.get(counts)
-                if found is None:
-                    if len(known) >= _CACHE // 4:
-                        known.clear()
-                    found = known[counts] = index.score(counts)
-                rows.append(found)
+            rows = [index.score(*reader(text)) for text in batch["text"].tolist()]
             out = pd.DataFrame(rows, columns=["score", "nearest_id", "nearest_cosine"])
             out.insert(0, "id", batch["id"].to_numpy())
-            out["nearest_id"] = out["nearest_id"].astype("Int64")
             yield out
 
-    scored = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "id string, score double, nearest_id long, nearest_cosine double")
+    scored = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "id string, score double, nearest_id string, nearest_cosine double")
     return scored.select(
         F.col("id").cast(kind).alias(id_col),
         F.coalesce(~is_training_row(F.col("id")), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
-        "nearest_id",
+        F.col("nearest_id").cast(kind).alias("nearest_id"),
         "nearest_cosine",
     )
