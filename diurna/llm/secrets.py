@@ -5,8 +5,9 @@ the matches that regexp_extract_all() returns alternate, so their lengths add up
 
 Entropy: candidates are unbroken runs of at least 20 characters from ``[A-Za-z0-9+/_=-]`` with a digit.
 Allow-listed ones are suppressed; over the others a window of 20 characters moves by one
-character at a time. The sum of c*log2(c) over the window's character counts is updated from the counts of
-the character that leaves and the one that enters, so each step costs the same. A window counts when its entropy reaches the
+character at a time. The counts of the window's characters are kept from step to step, packed into a few numbers with five bits for each character,
+and so is the sum of c*log2(c) over them: a step takes one from the count of the character that leaves and adds one to that of the character that
+enters. A window counts when its entropy reaches the
 bound of the candidate's character class; the span runs from the first such window to the end of the last.
 """
 
@@ -25,6 +26,11 @@ ASSIGN_LEAST = 6
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+#: The candidates' characters by code, the first and the last; counts up to WINDOW take five bits, twelve of them a number
+FIRST_CODE, LAST_CODE = ord("+"), ord("z")
+BITS, PER_NUMBER = 5, 12
+#: Matches whose places are added up at once
+PART = 128
 #: (name, whole-candidate pattern, least bits per character in a window); the first that matches holds
 CLASSES = [
     ("hexadecimal", "^([0-9a-f]+|[0-9A-F]+)$", 3.0),
@@ -49,8 +55,16 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(none)
 
 
+def _bind(value: Column, body) -> Column:
+    """body(value), with the value worked out once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _places(text: Column, pattern: str, found: Column) -> Column:
-    """array<struct<start, end, match>> of the matches, in code points, end exclusive."""
+    """array<struct<start, end, match>> of the matches, in code points, end exclusive.
+
+    Places are added up inside parts of PART matches and the parts' lengths then, so that no long array is copied at every match.
+    """
     kind = "array<struct<start:int,end:int,match:string>>"
     pairs = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found, lambda b, m: F.struct(F.char_length(b).alias("gap"), F.char_length(m).alias("n"), m.alias("m")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
@@ -60,7 +74,17 @@ def _places(text: Column, pattern: str, found: Column) -> Column:
         end = begin + pair["n"]
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), pair["m"].alias("match")))).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step)["out"]).otherwise(F.array().cast(kind))
+    def parts(all_pairs: Column) -> Column:
+        last = F.floor((F.size(all_pairs) - 1) / PART).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(F.slice(all_pairs, k * PART + 1, F.lit(PART)), start, step))
+
+    def moved(found_parts: Column) -> Column:
+        offsets = F.aggregate(found_parts, F.array(F.lit(0)), lambda acc, part: F.concat(acc, F.array(F.element_at(acc, -1) + part["at"])))
+        shift = lambda p, by: F.struct((p["start"] + by).alias("start"), (p["end"] + by).alias("end"), p["match"].alias("match"))
+        both = F.zip_with(found_parts, F.slice(offsets, 1, F.size(found_parts)), lambda part, by: F.transform(part["out"], lambda p: shift(p, by)))
+        return F.flatten(both)
+
+    return F.when(F.size(found) > 0, _bind(pairs, lambda p: _bind(parts(p), moved))).otherwise(F.array().cast(kind))
 
 
 def _weight(count: Column) -> Column:
@@ -68,35 +92,49 @@ def _weight(count: Column) -> Column:
     return F.element_at(F.array(*[F.lit(k * math.log2(k) if k else 0.0) for k in range(WINDOW + 1)]), count + 1)
 
 
-def _count(window: Column, char: Column) -> Column:
-    return F.size(F.filter(window, lambda x: x == char))
+def _one(code: Column) -> Column:
+    """One of a character, within its number."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), code % PER_NUMBER * BITS)
+
+
+def _number(code: Column) -> Column:
+    return F.floor(code / PER_NUMBER).cast("int")
+
+
+def _count(counts: Column, code: Column) -> Column:
+    return F.call_function("shiftright", F.get(counts, _number(code)), code % PER_NUMBER * BITS).bitwiseAND(F.lit((1 << BITS) - 1).cast("long")).cast("int")
 
 
 def high_windows(chars: Column, least_bits: Column) -> Column:
     """struct<s, first, last>: offsets of the first and the last window of chars (an array of WINDOW or more) that reach least_bits; -1 if none does."""
 
-    def state(s: Column, first: Column, last: Column) -> Column:
-        return F.struct(s.alias("s"), first.cast("int").alias("first"), last.cast("int").alias("last"))
+    def state(counts: Column, s: Column, first: Column, last: Column) -> Column:
+        return F.struct(counts.alias("counts"), s.alias("s"), first.cast("int").alias("first"), last.cast("int").alias("last"))
 
-    def step(acc: Column, k: Column) -> Column:
-        """k = -i counts the i-th character of the first window in; k > 0 moves the window to k."""
-        shared = F.when(k > 0, F.slice(chars, k + 1, WINDOW - 1)).otherwise(F.slice(chars, 1, -k - 1))
-        come = _count(shared, F.get(chars, F.when(k > 0, k + WINDOW - 1).otherwise(-k - 1)))
-        gone = F.when(k > 0, _count(shared, F.get(chars, k - 1))).otherwise(F.lit(0))  # none leaves: the weights of 0 and 1 are 0
-        s = acc["s"] + _weight(come + 1) - _weight(come) + _weight(gone) - _weight(gone + 1)
-        return state(s, acc["first"], acc["last"])
+    def change(acc: Column, code: Column, by: int) -> Column:
+        """acc with one more or one fewer of a character."""
+        counts = F.transform(acc["counts"], lambda x, i: F.when(i == _number(code), x + by * _one(code)).otherwise(x))
+        s = _bind(_count(acc["counts"], code), lambda n: acc["s"] + _weight(n + by) - _weight(n))
+        return state(counts, s, acc["first"], acc["last"])
 
     def mark(acc: Column, k: Column) -> Column:
-        high = (acc["s"] <= WINDOW * (math.log2(WINDOW) - least_bits) + 1e-9) & ((k > 0) | (k == -WINDOW))
-        at = F.greatest(k, F.lit(0))
-        return state(acc["s"], F.when(high & (acc["first"] < 0), at).otherwise(acc["first"]), F.when(high, at).otherwise(acc["last"]))
+        high = acc["s"] <= WINDOW * (math.log2(WINDOW) - least_bits) + 1e-9
+        return state(acc["counts"], acc["s"], F.when(high & (acc["first"] < 0), k).otherwise(acc["first"]), F.when(high, k).otherwise(acc["last"]))
+
+    def scan_codes(codes: Column) -> Column:
+        none = F.array(*[F.lit(0).cast("long")] * -(-(LAST_CODE - FIRST_CODE + 1) // PER_NUMBER))
+        empty = state(none, F.lit(0.0), F.lit(-1), F.lit(-1))
+        filled = F.aggregate(F.slice(codes, 1, WINDOW), empty, lambda acc, code: change(acc, code, 1))
+
+        def move(acc: Column, k: Column) -> Column:
+            """The window that begins at k, from the one before it."""
+            gone, come = F.get(codes, k - 1), F.get(codes, k + WINDOW - 1)
+            return _bind(F.when(gone == come, acc).otherwise(_bind(change(acc, gone, -1), lambda rest: change(rest, come, 1))), lambda moved: mark(moved, k))
 
-    def move(acc: Column, k: Column) -> Column:
-        return F.get(F.transform(F.array(step(acc, k)), lambda moved: mark(moved, k)), 0)
+        later = F.when(F.size(codes) > WINDOW, F.sequence(F.lit(1), F.size(codes) - WINDOW)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(later, _bind(filled, lambda acc: mark(acc, F.lit(0))), move)
 
-    first = F.sequence(F.lit(-1), F.lit(-WINDOW), F.lit(-1))
-    later = F.when(F.size(chars) > WINDOW, F.sequence(F.lit(1), F.size(chars) - WINDOW)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(F.concat(first, later), state(F.lit(0.0), F.lit(-1), F.lit(-1)), move)
+    return _bind(F.transform(chars, lambda c: F.ascii(c) - FIRST_CODE), scan_codes)
 
 
 def _least_bits(candidate: Column) -> Column:
@@ -117,8 +155,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """One row per input row: id_col and ``spans``, array<struct<start, rank, end, kind>> in order of start, then kind.
 
     Kinds: assign, access, hex (fixed patterns, leftmost non-overlapping per kind) and entropy. Null and empty texts have no span;
-    repeated rows are scanned each for itself; an empty table gives an empty result; other columns are ignored.
-    Spans of different kinds may overlap, and each is reported.
+    repeated rows, also of one id or of a null one, are scanned each for itself; very long texts are scanned whole, in time that grows with their length
+    and matches; an empty table gives an empty result; other columns are ignored. Spans of different kinds may overlap, and each is reported.
     """
     t = F.col("_t")
     frame = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))

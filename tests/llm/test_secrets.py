@@ -46,6 +46,7 @@ CASES = [
     "key Zm9vYmFyQmF6MTIzNDU2Nzg5MA== and wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzKQ9t9L2",
     "123e4567-e89b-12d3-a456-426614174000 20-character-slug-2024-11-26 aaaaaaaaaaaaaaaaaaaaaaaa1",
     "\U0001f600 token=abcdef\ntoken:\nabcdefg token:  'abcdef'",
+    "é token=abcdefgh deadbeefdeadbeefdeadbeef00 " * 700,
     "x" * 30000 + " token=abcdefgh " + "a1b2c3d4e5" * 300,
 ]
 
