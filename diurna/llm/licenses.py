@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Phrases and labels of the exact search (fixed values)
 PHRASES = [
     ("gnu general public license", "gpl"),
@@ -28,6 +30,7 @@ NOTICES = [
     ("gnu general public license", "gpl", 3),
     ("gnu lesser general public license", "lgpl", 3),
     ("gnu affero general public license", "agpl", 3),
+    ("apache license", "apache", 1),
     ("licensed under the apache license", "apache", 4),
     ("released under the mit license", "mit", 3),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 8),
@@ -69,7 +72,7 @@ def pieces(notice: str, edits: int) -> list[tuple[int, bytes]]:
 def _fuzzy():
     import regex
 
-    return [(notice, label, edits, pieces(notice, edits), regex.compile(rb"(?be)(?<!%s)(?:%s){e<=%d}(?!%s)" % (_CHAR, regex.escape(notice, special_only=True).encode(), edits, _CHAR))) for notice, label, edits in NOTICES]
+    return [(notice, label, edits, pieces(notice, edits), regex.compile(rb"(?e)(?<!%s)(?:%s){e<=%d}(?!%s)" % (_CHAR, regex.escape(notice, special_only=True).encode(), edits, _CHAR))) for notice, label, edits in NOTICES]
 
 
 def _windows(joined: bytes, notice: str, edits: int, seeds: list[tuple[int, bytes]]) -> list[list[int]]:
@@ -103,6 +106,15 @@ def fuzzy_places(joined: bytes) -> list[tuple[int, int, str, str, int]]:
     return out
 
 
+def _running(offsets: set[int], measure) -> dict[int, int]:
+    """measure(0, offset) of each offset, added up part by part."""
+    out, total, last = {}, 0, 0
+    for at in sorted(offsets):
+        total += measure(last, at)
+        out[at], last = total, at
+    return out
+
+
 def search(text: str | None) -> tuple[int, list[tuple], list[tuple]]:
     """Number of words, places of the exact phrases, places of the fuzzy notices, both as HIT."""
     data = (text or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower() changes A-Z alone
@@ -113,14 +125,17 @@ def search(text: str | None) -> tuple[int, list[tuple], list[tuple]]:
     if not exact and not places:
         return len(words), [], []
     spans = [m.span() for m in _WORD.finditer(data)]
-    char = lambda at: len(data[:at].decode("utf-8", "surrogatepass"))
     number = {s: k for k, (s, _) in enumerate(spans)}
+    found = [(label, phrase, number[m.start()], number[m.start()] + n - 1, 0) for m, label, phrase, n in exact]
+    ends = _running({a for a, *_ in places} | {b for _, b, *_ in places}, lambda low, high: joined.count(b" ", low, high))
+    close = [(label, notice, ends[a], ends[b], edits) for a, b, label, notice, edits in places]
+    # each part of the text between two places is decoded once
+    chars = _running({at for _, _, first, last, _ in [*found, *close] for at in (spans[first][0], spans[last][1])}, lambda low, high: len(data[low:high].decode("utf-8", "surrogatepass")))
 
     def hit(label: str, phrase: str, first: int, last: int, edits: int) -> tuple:
-        return (label, phrase, first, last, char(spans[first][0]), char(spans[last][1]), edits)
+        return (label, phrase, first, last, chars[spans[first][0]], chars[spans[last][1]], edits)
 
-    base = [hit(label, phrase, number[m.start()], number[m.start()] + n - 1, 0) for m, label, phrase, n in exact]
-    fuzzy = [hit(label, notice, joined.count(b" ", 0, a), joined.count(b" ", 0, b), edits) for a, b, label, notice, edits in places]
+    base, fuzzy = [hit(*h) for h in found], [hit(*h) for h in close]
     order = lambda h: (h[2], h[3], h[0], h[1])
     return len(words), sorted(base, key=order), sorted(fuzzy, key=order)
 
@@ -128,9 +143,10 @@ def search(text: str | None) -> tuple[int, list[tuple], list[tuple]]:
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id_col, n_words, base and fuzzy (arrays of HIT; spans in code points, end exclusive).
 
-    Null and empty texts have no word and no place; repeated rows are scanned each for itself; an empty table gives an
-    empty result; other columns are ignored. Places of different phrases may overlap; those of one don't.
+    Null and empty texts have no word and no place; repeated rows, also of one id or of a null one, are scanned each for itself; very long texts are
+    scanned whole; an empty table gives an empty result; other columns are ignored. Places of different phrases may overlap; those of one don't.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -56,6 +56,38 @@ def test_fuzzy_finds_edited_notices_and_nothing_else():
     assert licenses.search("the general public may use this text without any license")[1:] == ([], [])
 
 
+def test_insertions_deletions_and_edits_on_blanks():
+    rng = random.Random(6)
+    for notice, label, edits in licenses.NOTICES:
+        for _ in range(8):
+            chars = list(notice)
+            for _ in range(rng.randrange(1, edits + 1)):
+                k = rng.randrange(1, len(chars) - 1)
+                kind = rng.randrange(3)
+                if kind == 0:
+                    chars[k] = rng.choice("abcxyz")
+                elif kind == 1:
+                    chars.insert(k, rng.choice("abcxyz "))
+                else:
+                    del chars[k]
+            edited = " ".join("".join(chars).split())
+            if distance(edited, notice) > edits:
+                continue
+            text = f"Words before, {edited.title()}; words after"
+            place = (text.lower().index(edited), text.lower().index(edited) + len(edited))
+            hits = [h for h in licenses.search(text)[2] if h[1] == notice]
+            assert any(h[4] < place[1] and h[5] > place[0] for h in hits), (notice, edited)
+            assert all(h[6] <= edits and distance(" ".join(WORD.findall(text[h[4] : h[5]].lower())), notice) <= edits for h in hits)
+
+
+def test_places_side_by_side_and_many():
+    both = licenses.search("mozila public license mozilla public license")[2]
+    assert [(h[2], h[3], h[6]) for h in both] == [(0, 2, 1), (3, 5, 0)]
+    n, base, fuzzy = licenses.search("é MIT license. " * 3000)
+    assert n == 9000 and len(base) == 3000 and [h[4] for h in base] == [15 * k + 2 for k in range(3000)]
+    assert "apache" in {h[0] for h in licenses.search("under the Apache Licence 2.0")[2]}
+
+
 def test_report(spark):
     docs = spark.createDataFrame([(1, "Licensed under CC BY-NC 4.0."), (2, None), (3, "GNU Genral Public Licence"), (3, "GNU Genral Public Licence")], "doc_id long, text string").selectExpr("*", "1 as base", "'x' as id")
     rows = sorted(map(tuple, licenses.license_report(docs).collect()))
