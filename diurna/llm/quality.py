@@ -22,16 +22,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_training_row
+from .common import is_training_row, small_batches
 
 #: Most rows of each kind that fitting uses; a documented bound
 SAMPLE = 8000
 #: Fewest rows of each kind that a model is fitted on
 LEAST = 8
 BINS = 24
-#: Most steps; how many are taken is decided by the risk on a fifth of the rows that is kept apart, looked at every WATCH steps
+#: Most steps. The risk on a fifth of the rows that is kept apart is looked at every WATCH steps: the weights with the least hold, and after PATIENCE looks without a lesser one no more steps are taken
 EPOCHS = 2000
-WATCH = 50
+WATCH = 25
+PATIENCE = 6
 #: Steps of the classifier that the prior is estimated with
 PLAIN_EPOCHS = 250
 RATE = 0.1
@@ -124,13 +125,14 @@ def risk(on_positive: np.ndarray, on_unlabelled: np.ndarray, prior: float) -> fl
     return float(prior * np.logaddexp(0, -on_positive).mean() + max(0.0, negative))
 
 
-def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, epochs: int, apart: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[Model, int]:
-    """nnPU for a given prior; without one, a plain classifier of positive against unlabelled rows. With rows kept apart, also the number of steps at which their risk is least."""
+def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, epochs: int, apart: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
+    """nnPU for a given prior; without one, a plain classifier of positive against unlabelled rows. With rows kept apart, the model at the step where their risk is least."""
     model = Model(_bins(np.concatenate([positive, unlabelled])), np.zeros(positive.shape[1] * (BINS + 1)), 0.0, prior or 0.5)
     cp, cu = model.cells(positive), model.cells(unlabelled)
     size, columns = len(model.weights), positive.shape[1]
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
-    least, best = np.inf, epochs
+    least, best, since = np.inf, None, 0
+    cells_apart = None if apart is None else [model.cells(x) for x in apart]
 
     def gather(cells: np.ndarray, slope: np.ndarray) -> np.ndarray:
         return np.bincount(cells.ravel(), np.repeat(slope, columns), size)
@@ -154,16 +156,20 @@ def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, epoc
         model.weights = model.weights - RATE * (m / c1) / (np.sqrt(v / c2) + 1e-8)
         model.bias -= RATE * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
         if apart is not None and t % WATCH == 0:
-            now = risk(model.margin(apart[0]), model.margin(apart[1]), prior or 0.5)
+            now = risk(*[model.weights[c].sum(axis=1) + model.bias for c in cells_apart], prior or 0.5)
             if now < least:
-                least, best = now, t
-    return model, best
+                least, best, since = now, (model.weights, model.bias), 0
+            elif (since := since + 1) >= PATIENCE:
+                break
+    if best is not None:
+        model.weights, model.bias = best
+    return model
 
 
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Share of positive rows among the unlabelled: best bin estimation on the rows that a plain classifier wasn't fitted on."""
     cut_p, cut_u = len(positive) // 2, len(unlabelled) // 2
-    plain, _ = _fit(positive[:cut_p], unlabelled[:cut_u], None, PLAIN_EPOCHS)
+    plain = _fit(positive[:cut_p], unlabelled[:cut_u], None, PLAIN_EPOCHS)
     sp, su = np.sort(plain.margin(positive[cut_p:])), np.sort(plain.margin(unlabelled[cut_u:]))
     at = np.unique(sp)
     # shares at or above each bound
@@ -178,8 +184,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
     """A model from features of trusted positives and of unlabelled rows; the prior is estimated unless given."""
     prior = class_prior(positive, unlabelled) if prior is None else prior
     a, b = -(-len(positive) // 5), -(-len(unlabelled) // 5)
-    _, steps = _fit(positive[a:], unlabelled[b:], prior, EPOCHS, (positive[:a], unlabelled[:b]))
-    return _fit(positive, unlabelled, prior, steps)[0]
+    return _fit(positive[a:], unlabelled[b:], prior, EPOCHS, (positive[:a], unlabelled[:b]))
 
 
 def training_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
@@ -196,8 +201,9 @@ def training_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
         return ids.distinct().orderBy(F.xxhash64("id"), "id").limit(sample).withColumn("kind", F.lit(kind))
 
     ids = least(marked.join(texts.select("id"), "id", "left_semi"), 1).unionByName(least(texts.select("id"), 0))
-    # 2 * sample ids at most
-    rows = texts.join(F.broadcast(ids), "id").select("kind", "id", measured("text").alias("x")).orderBy("kind", F.xxhash64("id"), "id", "x").toPandas()
+    # 2 * sample ids at most, and of the rows that share an id the one with the least text
+    texts = texts.select("id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "id").groupBy("id", "kind").agg(F.min("text").alias("text"))
+    rows = texts.select("kind", "id", measured("text").alias("x")).orderBy("kind", F.xxhash64("id"), "id", "x").toPandas()
     return tuple(np.array(rows.loc[rows["kind"] == kind, "x"].tolist(), np.float64).reshape(-1, len(FEATURES)) for kind in (1, 0))
 
 
@@ -217,10 +223,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per input row: id_col, held_out, score, predicted.
 
     Labels are read only from training rows (crc32 of the id modulo 3 is not 1). Null and empty texts are scored like any
-    text without words. Repeated rows are scored each for itself. With fewer than LEAST
+    text without words, very long ones whole. Repeated rows are scored each for itself; an id with several texts is one row to fit on. With fewer than LEAST
     trusted positives or texts to fit on, every score is 0.5.
     Other columns are ignored. A table without rows gives none.
     """
+    small_batches(docs.sparkSession)
     positive, unlabelled = training_features(docs, labels, id_col, text_col, label_col)
     texts = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     if min(len(positive), len(unlabelled)) >= LEAST:
