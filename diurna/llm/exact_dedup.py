@@ -55,7 +55,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts are equal when identical after lower-casing A-Z; of a group, the row with the largest
     id stays. Null and empty texts form one group. Repeated rows (same id, same text) all point to that
     id and all count as kept: they can't be told apart. Rows with a null id count in group_size; keep_id is
-    null only when every id of the group is. An empty table gives an empty result. Other columns are ignored.
+    null only when every id of the group is. An empty table gives an empty result. Very long texts are
+    read whole; only their digests travel. Other columns are ignored.
     """
     keyed = stash(digests(docs, id_col, text_col), "digests")
     winners = stash(frequent(keyed, max_winners, tracked), "winners")
