@@ -2,6 +2,9 @@
 
 STAGES holds (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
 read again as the next one's docs. All but the last return the columns of documents.
+
+All stages take nulls in any column, repeated rows, extra columns (which go) and tables without rows, which give none; texts are read whole. What each does with
+rows without an id, or that share one, stands in its docstring.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text scores 0.5 or more; null counts as empty text."""
+    """Rows whose text scores 0.5 or more; null counts as empty text. Every row is judged by its own text, whatever its id; with too few labels to fit on all rows stay."""
     positive, unlabelled = training_features(docs, read(spark, sf_dir, "labels"))
     if min(len(positive), len(unlabelled)) < LEAST:
         return docs.select(COLUMNS)
@@ -41,14 +44,14 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item. Rows that share an id stay or go together; rows without an id by their text."""
+    """Documents that hold no benchmark item. Rows that share an id stay or go together; rows without an id by their text. Null and empty texts hold none; without a benchmark all stay."""
     rows = docs.withColumn("_key", F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.concat(F.lit("t"), F.col("text")), F.lit("")))
     found = stash(decontaminate(rows, read(spark, sf_dir, "benchmark"), id_col="_key").select("_key").distinct(), "contaminated")
     return rows.join(found.hint("shuffle_hash"), "_key", "left_anti").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in the packed sequences."""
+    """Token pieces with their places in the packed sequences: every row is a document of its own, null and empty texts have the end id alone."""
     return pack(docs, tokenizer_path())
 
 
