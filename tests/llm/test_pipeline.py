@@ -76,7 +76,8 @@ def test_rows_without_an_id_stay(spark, world):
         assert None in {r["doc_id"] for r in stage(spark, docs, sf_dir).collect()}, stage
     assert {r["doc_id"] for r in cp.packing(spark, docs, sf_dir).collect()} == {None, 1, 2}
     empty = docs.limit(0)
-    assert [cp.near_duplicate_removal(spark, empty, sf_dir).count(), cp.repeated_lines(spark, empty, sf_dir).count(), cp.packing(spark, empty, sf_dir).count()] == [0, 0, 0]
+    assert [f(spark, empty, sf_dir).count() for _, f in cp.STAGES] == [0, 0, 0, 0, 0]
+    assert None in {r["doc_id"] for r in cp.quality_filter(spark, docs, sf_dir).collect()}
 
 
 def test_run(spark, world):
