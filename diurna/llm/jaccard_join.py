@@ -9,7 +9,9 @@ a split leaves nearly whole, are searched by brute force over the tokens, which
 Runs are repeated until a pair at the bound is missed by all of them with a probability of ``MISSED`` at most: repeats() gives
 their number by the depth of the recursion, and members of deep nodes get as many more runs as their depth asks for.
 
-Inside a linked set every pair is then compared exactly, by its shingles, in blocks: links are counted, not listed.
+Inside a linked set every pair is then compared exactly, by its shingles, in blocks: links are counted, not listed. A linked set of over
+``WHOLE`` members (a large group of near copies) is not compared as a whole but inside the nodes that its members share, each pair in the first one,
+so that a member's shingles travel to as many places as it has nodes, not to as many as the group has blocks.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ MISSED = 1e-6
 #: Members of one block in the exact comparison; of one task's node in the brute force
 BLOCK = 1024
 NODE_BLOCK = 8192
+#: Members of a linked set that is compared as a whole
+WHOLE = 8192
 _WORD = re.compile(r"\w+")
 _CACHE_WORDS = 200_000
 
@@ -294,7 +298,10 @@ def _sets(words: int):
 
 
 def _exact(similarity: float):
-    """Rows of one (root, part): links of each member there, and spanning links."""
+    """Rows of one (scope, part): links of each member there, and spanning links.
+
+    Where the scope is a node, a pair that shares an earlier node too (column paths has each member's nodes) was compared there.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("key")  # rows that share an id and a text
@@ -324,6 +331,16 @@ def _exact(similarity: float):
         np.fill_diagonal(near, False)
         if part // blocks != part % blocks:  # pairs within one block are those of its own part
             near &= own[:, None] != own[None, :]
+        node = rows["node"].iloc[0]
+        if not pd.isna(node):
+            shared: dict[int, list[int]] = {}
+            for k, path in enumerate(rows["paths"]):
+                for x in path:
+                    if x < node:
+                        shared.setdefault(int(x), []).append(k)
+            for members in shared.values():
+                if len(members) > 1:
+                    near[np.ix_(members, members)] = False
         root = np.arange(n)
         for k in range(n):
             others = np.unique(root[near[k]])
@@ -356,7 +373,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = classes.where(F.col("sketch").isNotNull()).select("key", "sketch", "roots")
 
     least = least_equal(similarity)
-    nodes = _blocks(leaves(reps, similarity=similarity), "node", NODE_BLOCK).select("node", "part", "key")
+    searched = leaves(reps, similarity=similarity)
+    nodes = _blocks(searched, "node", NODE_BLOCK).select("node", "part", "key")
     members = nodes.join(reps.select("key", "sketch"), "key").select("node", "part", "key", "sketch")
     members = members.repartition("node", "part").sortWithinPartitions("node", "part")
     likely = connected(members.mapInPandas(_brute(least), "a long, b long"), "likely")
@@ -364,8 +382,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = stash(likely.join(classes.select("key", "words", "copy_id"), "key"), "asked")
     # every text is read at the row that names its class
     sets = texts.join(asked.select(F.col("copy_id").alias("id"), "key", "words").hint("shuffle_hash"), "id").select("key", "words", "text").mapInPandas(_sets(words), "key long, shingles binary")
-    parts = _blocks(asked.select("key", "root"), "root", BLOCK).select("root", "part", "key", "_own", "_blocks")
-    compared = parts.join(sets.dropDuplicates(["key"]).hint("shuffle_hash"), "key").groupBy("root", "part").applyInPandas(_exact(similarity), "key long, links long, root long")
+    sized = asked.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    large = stash(sized.where(F.col("members") > WHOLE).select("root"), "large")
+    scoped = asked.select("key", "root").join(large, "root", "left_anti").select("key", F.col("root").alias("scope"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("array<long>").alias("paths"))
+    if not large.isEmpty():
+        inside = asked.select("key", "root").join(large, "root", "left_semi").join(searched.distinct(), "key")
+        paths = inside.groupBy("key").agg(F.collect_list("node").alias("paths"))
+        scoped = scoped.unionByName(inside.join(paths, "key").select("key", F.xxhash64("root", "node").alias("scope"), "node", "paths"))
+    parts = _blocks(scoped, "scope", BLOCK).select("scope", "part", "key", "_own", "_blocks", "node", "paths")
+    compared = parts.join(sets.dropDuplicates(["key"]).hint("shuffle_hash"), "key").groupBy("scope", "part").applyInPandas(_exact(similarity), "key long, links long, root long")
     compared = stash(compared, "compared")
     links = compared.groupBy("key").agg(F.sum("links").alias("links"))
     groups = connected(compared.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")), "groups")

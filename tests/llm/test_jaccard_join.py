@@ -75,6 +75,75 @@ def test_large_group_of_near_copies(spark):
     assert got == brute(rows)
 
 
+def test_large_linked_sets_are_compared_inside_their_nodes(spark, monkeypatch):
+    monkeypatch.setattr(jj, "WHOLE", 10)
+    monkeypatch.setattr(jj, "BLOCK", 30)
+    monkeypatch.setattr(jj.leaves, "__defaults__", (40, jj.SIMILARITY))
+    rng = random.Random(12)
+    rows = []
+    for g, size in enumerate((160, 40, 8)):
+        base = [f"g{g}w{rng.randrange(500)}" for _ in range(150)]
+        for _ in range(size):
+            copy = list(base)
+            for _ in range(rng.randrange(0, 5)):
+                copy[rng.randrange(150)] = f"n{rng.randrange(100)}"
+            rows.append((len(rows), " ".join(copy)))
+    expected = brute(rows)
+    assert max(e[3] for e in expected.values()) > 60
+    got = {r["doc_id"]: tuple(r)[1:] for r in jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected
+
+
+def pair(rng, words, k):
+    """Two texts of about so many words, with a similarity of 0.8 or just above; None if the dice give another."""
+    base = [f"p{k}w{j}" for j in range(words)]
+    copy = list(base)
+    while True:
+        at = rng.choice([0, len(copy) - 1, rng.randrange(len(copy))])
+        trial = list(copy)
+        trial[at] = f"p{k}x{rng.randrange(10**9)}"
+        if len(shingles(" ".join(base)) & shingles(" ".join(trial))) < 0.8 * len(shingles(" ".join(base)) | shingles(" ".join(trial))):
+            break
+        copy = trial
+    a, b = shingles(" ".join(base)), shingles(" ".join(copy))
+    return (" ".join(base), " ".join(copy)) if copy != base and len(a & b) <= 0.9 * len(a | b) else None
+
+
+def test_recall_at_the_bound(spark):
+    """Pairs at the similarity or just above it, by length; small nodes, so that the recursion goes deep."""
+    rng, rows, kinds = random.Random(14), [], {}
+    for words in (14, 16, 20, 45, 200):
+        made = 0
+        while made < 150:
+            texts = pair(rng, words, len(rows))
+            if texts:
+                kinds[len(rows)] = words
+                rows += [(len(rows), texts[0]), (len(rows) + 1, texts[1])]
+                made += 1
+    got = {r["doc_id"]: r["n_links"] for r in jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for words in (14, 16, 20, 45, 200):
+        found = [got[d] > 0 for d, w in kinds.items() if w == words]
+        assert np.mean(found) >= 0.99, words
+
+
+def test_runs_follow_from_the_target_recall():
+    for depth in (1, 2, 4):
+        rng, missed, runs = random.Random(depth), 0, jj.repeats(depth, missed=0.01)
+        for _ in range(20_000):
+            def together(d):
+                return d == 0 or any(rng.random() < 0.8 and together(d - 1) for _ in range(max(1, np_poisson(rng))))
+
+            missed += not any(rng.random() < 0.8 and together(depth - 1) for _ in range(runs))
+        assert missed <= 0.015 * 20_000, (depth, missed)
+
+
+def np_poisson(rng, mean=1.25):
+    limit, n, p = 2.718281828 ** -mean, 0, rng.random()
+    while p > limit:
+        n, p = n + 1, p * rng.random()
+    return n
+
+
 def test_repeated_rows_and_empty_table(spark):
     text = "a b c d e f g h"
     docs = spark.createDataFrame([(1, text), (1, text), (2, text), (None, "q r s")], "doc_id long, text string")
