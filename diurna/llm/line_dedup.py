@@ -15,6 +15,7 @@ the chunks whose bytes an earlier place has. The place that stays is the first o
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,36 +32,36 @@ MOST_LINES = 64
 LONG_LINE = 50
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
+_TOP = pow(_BASE, ROLL - 1, 1 << 64)
 
 
 def chunks(text: str) -> list[tuple[int, int]]:
     """(first, end) of the chunks, as numbers of lines."""
-    out, first, rolled = [], 0, []
+    out, first, rolled, value = [], 0, deque(), 0
     lines = text.split("\n")
+
+    def cut(end: int) -> None:
+        nonlocal first, value
+        if first < end:
+            out.append((first, end))
+        first, value = end, 0
+        rolled.clear()
+
     for k, line in enumerate(lines):
         # as many words as spaces at most, plus one; counted only where that may be enough
         if line.count(" ") >= LONG_LINE - 1 and len(line.split()) >= LONG_LINE:
-            if first < k:
-                out.append((first, k))
-            out.append((k, k + 1))
-            first, rolled = k + 1, []
+            cut(k)
+            cut(k + 1)
             continue
+        # the hash rolls: the line that leaves the last ROLL ones is taken out of it, the new one put in
+        if len(rolled) == ROLL:
+            value -= rolled.popleft() * _TOP
         rolled.append(xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")))
+        value = (value * _BASE + rolled[-1]) & _MASK
         n = k + 1 - first
-        if n >= MOST_LINES:
-            cut = True
-        elif n >= LEAST_LINES:
-            value = 0
-            for h in rolled[-ROLL:]:
-                value = (value * _BASE + h) & _MASK
-            cut = (value >> 20) % EXPECTED == 0
-        else:
-            cut = False
-        if cut:
-            out.append((first, k + 1))
-            first, rolled = k + 1, []
-    if first < len(lines):
-        out.append((first, len(lines)))
+        if n >= MOST_LINES or n >= LEAST_LINES and (value >> 20) % EXPECTED == 0:
+            cut(k + 1)
+    cut(len(lines))
     return out
 
 

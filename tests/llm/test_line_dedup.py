@@ -1,21 +1,49 @@
 """Line dedup against a plain version over all chunks at once, and the boundaries' shift resistance."""
 
+import itertools
 import random
 
-from diurna.llm.line_dedup import LONG_LINE, chunks, hashed, line_dedup
+import xxhash
+
+from diurna.llm import line_dedup as line_dedup_module
+from diurna.llm.line_dedup import LONG_LINE, chunks, line_dedup
+
+
+def runs_of(text):
+    """(first, end) of all runs of lines that are compared, from the rules: content-defined chunks, and runs of just enough words."""
+    lines = text.split("\n")
+    words = [len(x.split()) for x in lines]
+    digests = [xxhash.xxh64_intdigest(x.encode()) for x in lines]
+    found, first = set(), 0
+    for k in range(len(lines)):
+        if words[k] >= LONG_LINE:
+            found |= {(first, k), (k, k + 1)}
+            first = k + 1
+        elif k + 1 - first >= 64 or k > first and (((digests[k - 1] * 0x9E3779B97F4A7C15 + digests[k]) % 2**64) >> 20) % 3 == 0:
+            found.add((first, k + 1))
+            first = k + 1
+    found.add((first, len(lines)))
+    found = {(a, b) for a, b in found if b - a >= 2 or b > a and words[a] >= LONG_LINE}
+    sums = [0, *itertools.accumulate(words)]
+    for a in range(len(lines)):
+        for b in range(a + 1, len(lines) + 1):
+            if sums[b] - sums[a] >= LONG_LINE and (sums[b - 1] - sums[a] < LONG_LINE or sums[b] - sums[a + 1] < LONG_LINE):
+                found.add((a, b))
+    return found
 
 
 def brute(rows):
-    """Expected texts for distinct ids, by comparing all chunks' text."""
+    """Expected texts for distinct ids, by comparing the text of all runs."""
     places = {}
     for doc, text in rows:
-        for a, b, _, data in hashed(text or ""):
-            places.setdefault(data, []).append((doc, a, b))
+        lines = (text or "").split("\n")
+        for a, b in runs_of(text or ""):
+            places.setdefault("\n".join(lines[a:b]), []).append((doc, a, b))
     out = {}
     for doc, text in rows:
         lines = (text or "").split("\n")
         gone = set()
-        for data, found in places.items():
+        for found in places.values():
             keep = min(found)
             for d, a, b in found:
                 if d == doc and (d, a, b) != keep:
@@ -24,6 +52,21 @@ def brute(rows):
     return out
 
 
+def test_rolling_hash_of_more_lines(monkeypatch):
+    """With a longer window the hash is that of the window's lines, wherever the chunk began."""
+    monkeypatch.setattr(line_dedup_module, "ROLL", 4)
+    monkeypatch.setattr(line_dedup_module, "_TOP", pow(0x9E3779B97F4A7C15, 3, 2**64))
+    monkeypatch.setattr(line_dedup_module, "LEAST_LINES", 5)
+    rng = random.Random(21)
+    lines = [f"line {rng.random()}" for _ in range(300)]
+    digests = [xxhash.xxh64_intdigest(x.encode()) for x in lines]
+    for a, b in chunks("\n".join(lines))[:-1]:
+        value = 0
+        for d in digests[b - 4 : b]:
+            value = (value * 0x9E3779B97F4A7C15 + d) % 2**64
+        assert b - a == 64 or (value >> 20) % 3 == 0
+
+
 def test_chunks_cover_all_lines_and_come_back_in_step():
     rng = random.Random(1)
     lines = [f"line {rng.random()}" for _ in range(200)]
