@@ -92,3 +92,14 @@ def preview(title: Column, width: int = 80) -> Column:
 def first_with_prefix(notes: DataFrame, prefix: str, *order: str) -> DataFrame:
     """The first note, in the given order, whose title starts so."""
     return notes.where(F.col("titulo").startswith(prefix)).orderBy(*order).limit(1)
+
+
+# What a rendered page of the site has (fixed values): links to its own list of references, and that list before the end of the main part
+CITATION = r'href="#(ref-[^"]+)"'
+APPENDIX = r'(?s)\n?<div id="quarto-appendix"[^>]*>.*?</div>\s*(?=</main>)'
+
+
+def citations_to(html: Column, page: str) -> Column:
+    """The page with its citations led to another page's references, and without a list of its own."""
+    led = F.regexp_replace(html, CITATION, f'href="{page}#$1"')
+    return F.regexp_replace(led, APPENDIX, "\n")

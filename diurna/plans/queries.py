@@ -399,6 +399,14 @@ def relinked_figures(spark, sf_dir):
     return d.select("doc_id", sinks.relink_figures(F.col("markdown"), F.concat(F.lit("nota-"), F.col("doc_id").cast("string"), F.lit("_images"))).alias("markdown"))
 
 
+@query("""select doc_id, '<main><a href="references.html#ref-' || coalesce(source, 'x') || '">s</a> <a href="#top">t</a><p>' || doc_id || '</p>' || chr(10) || '</main>' as html from documents""")
+def site_citations(spark, sf_dir):
+    """Rendered pages whose citations are led to the page of references."""
+    link = F.concat(F.lit('<main><a href="#ref-'), F.coalesce("source", F.lit("x")), F.lit('">s</a> <a href="#top">t</a><p>'), F.col("doc_id").cast("string"))
+    html = F.concat(link, F.lit('</p>\n<div id="quarto-appendix" class="default"><section>refs\n</section></div>\n\n</main>'))
+    return documents(spark, sf_dir).select("doc_id", a.citations_to(html, "references.html").alias("html"))
+
+
 @query(SPANS + """select cod_nota, case when bool_or(page % 7 = 0) then 'missing_page' else 'ok' end as status,
     case when not bool_or(page % 7 = 0) then string_agg('page ' || page || ' of ' || cod_edicion, chr(10) || chr(10) order by page) || chr(10) end as markdown from spans where pagina < 400 group by cod_nota""")
 def pages_by_engine(spark, sf_dir):
