@@ -30,16 +30,16 @@ from pyspark.sql import functions as F
 from .common import is_training_row, small_batches, stash
 
 #: Most labelled rows of each kind that fitting uses; documented bounds
-TOXIC_SAMPLE = 1250
-CLEAN_SAMPLE = 2500
+TOXIC_SAMPLE = 500
+CLEAN_SAMPLE = 1000
 #: Beginnings of words that are terms, besides the words themselves
-BEGINNINGS = (4, 6)
+BEGINNINGS = (3, 5)
 #: A beginning that a text has more than once, and at least once in so many words, is a further term for each number it meets: chance hits of long texts and repeated use differ
 LEVELS = (256, 128, 64, 32, 16)
 NEIGHBOURS = 10
 BLOCK = 32
 #: Blocks that are read first; each further step reads as many again as were read so far
-STEP = 96
+STEP = 256
 #: Cosines are worked out in full once so few examples are left
 FEW = 96
 #: Parts of the examples, each of which is scored by an index of the others
@@ -165,18 +165,20 @@ class Index:
         norm = np.sqrt(np.bincount(row, value * value, len(examples)))
         value = value / np.where(norm > 0, norm, 1)[row]
         self.ids = [e[0] for e in examples]
-        self.votes = np.where(toxic[:, None], [[toxic_weight, 0.0]], [[0.0, clean_weight]])
+        # every example has one vote; that the kinds were sampled unlike is made up for by the calibration
+        self.votes = np.where(toxic[:, None], [[1.0, 0.0]], [[0.0, 1.0]])
+        stands_for = np.array([toxic_weight, clean_weight])
         self.there = norm > 0
         # lists of terms, the largest weights first
         by_term = np.lexsort((row, -value, term))
-        self.item, self.impact = row[by_term].astype(np.int32), value[by_term].astype(np.float32)
+        self.item, self.impact = row[by_term], value[by_term]
         self.start = np.searchsorted(term[by_term], np.arange(v + 1))
         # vectors of examples
         by_row = np.argsort(row, kind="stable")
-        self.term, self.value = term[by_row].astype(np.int32), value[by_row].astype(np.float32)
+        self.term, self.value = term[by_row], value[by_row]
         self.vector = np.searchsorted(row[by_row], np.arange(len(examples) + 1))
-        bare = self.votes[~self.there].sum(axis=0)
-        every = self.votes.sum(axis=0)
+        bare = self.votes[~self.there].sum(axis=0) * stands_for
+        every = self.votes.sum(axis=0) * stands_for
         #: Toxic rate of all examples, and of those that a text without any term is like
         self.rate = float(every[0] / every.sum()) if examples else 0.0
         self.base = float((bare[0] + self.rate) / (bare.sum() + 1))
@@ -191,10 +193,10 @@ class Index:
         self._query = np.zeros(len(self.vocabulary), np.float64)
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """(example, cosine) of the nearest examples: as many as hold so many examples' weight, and all ties of the last one."""
+        """(example, cosine) of so many nearest examples, and all ties of the last one."""
         weight = (1 + np.log(counts)) * self.weight[terms]
         terms, weight = terms[weight > 0], weight[weight > 0]
-        if not len(terms):
+        if not len(terms) or not self.ids:
             return np.empty(0, np.int64), np.empty(0)
         weight = weight / np.sqrt((weight * weight).sum())
         start, end = self.start[terms], self.start[terms + 1]
@@ -214,9 +216,8 @@ class Index:
             till = np.minimum(first[read] + BLOCK, end[of[read]])
             postings = _ranges(first[read], till)
             partial += np.bincount(self.item[postings], self.impact[postings] * np.repeat(weight[of[read]], till - first[read]), len(partial))
-            # an example's votes weigh 1 at least
             top = np.argpartition(-partial, neighbours)[:neighbours] if len(partial) > neighbours else np.arange(len(partial))
-            least = self._least(top, partial[top], neighbours) - _SLACK
+            least = self._least(partial[top], neighbours) - _SLACK
             alive = np.flatnonzero(partial + left[high] >= max(least, 2 * _SLACK))
             if len(alive) <= FEW or high == len(order):
                 break
@@ -226,16 +227,13 @@ class Index:
         entries = _ranges(begin, end)
         cosines = np.bincount(np.repeat(np.arange(len(alive)), end - begin), self.value[entries] * self._query[self.term[entries]], len(alive))
         self._query[terms] = 0
-        least = max(self._least(alive, cosines, neighbours) - _SLACK, _SLACK)
+        least = max(self._least(cosines, neighbours) - _SLACK, _SLACK)
         found, cosines = alive[cosines >= least], cosines[cosines >= least]
         order = np.lexsort((found, -np.round(cosines, 6)))
         return found[order], cosines[order]
 
-    def _least(self, found: np.ndarray, cosines: np.ndarray, neighbours: int) -> float:
-        order = np.argsort(-cosines, kind="stable")
-        held = np.cumsum(self.votes[found[order]].sum(axis=1))
-        k = int(np.searchsorted(held, neighbours))
-        return float(cosines[order[k]]) if k < len(order) else 0.0
+    def _least(self, cosines: np.ndarray, neighbours: int) -> float:
+        return float(np.partition(cosines, -neighbours)[-neighbours]) if len(cosines) >= neighbours else 0.0
 
     def share(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float | None, int | None, float]:
         """(toxic share of the votes, nearest example, its cosine); no share without a neighbour."""
@@ -370,8 +368,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
         reader = Reader(index.names)
+        # copies of a text come up again and again
+        known: dict[bytes, tuple] = {}
+
+        def score(text: str | None) -> tuple:
+            key = xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass"))
+            if key not in known:
+                if len(known) >= _CACHE // 4:
+                    known.clear()
+                known[key] = index.score(*reader(text))
+            return known[key]
+
         for batch in batches:
-            rows = [index.score(*reader(text)) for text in batch["text"].tolist()]
+            rows = [score(text) for text in batch["text"].tolist()]
             out = pd.DataFrame(rows, columns=["score", "nearest_id", "nearest_cosine"])
             out.insert(0, "id", batch["id"].to_numpy())
             yield out

@@ -31,18 +31,18 @@ def plain_index(examples):
     return vector, [vector(v) for _, v, _ in examples]
 
 
-def plain_share(query, examples, toxic_weight, clean_weight, k):
+def plain_share(query, examples, k):
     vector, vectors = plain_index(examples)
     q = vector(query)
     cosine = [sum(x * v.get(t, 0.0) for t, x in q.items()) for v in vectors]
     ranked = sorted((c for c in range(len(examples)) if cosine[c] > 1e-5), key=lambda c: -cosine[c])
-    held, near = 0.0, []
+    held, near = 0, []
     for c in ranked:
         if held >= k and cosine[c] < cosine[near[-1]] - 1e-6:
             break
         near.append(c)
-        held += toxic_weight if examples[c][2] else clean_weight
-    votes = [sum((toxic_weight if examples[c][2] else clean_weight) * (cosine[c] / cosine[near[0]]) ** 2 for c in near if examples[c][2] == kind) for kind in (True, False)]
+        held += 1
+    votes = [sum((cosine[c] / cosine[near[0]]) ** 2 for c in near if examples[c][2] == kind) for kind in (True, False)]
     return (votes[0] / sum(votes), max(cosine)) if near else (None, 0.0)
 
 
@@ -65,7 +65,7 @@ def test_votes_against_all_cosines(monkeypatch, block, step, few):
         query = vector(rng.random() < 0.5)
         known = {t: c for t, c in query.items() if tx.number(t) in place}
         share, _, cosine = index.share(np.array([place[tx.number(t)] for t in known], np.int64), np.array(list(known.values()), np.int64))
-        want, best = plain_share(query, examples, 1.0, 2.5, 10)
+        want, best = plain_share(query, examples, 10)
         assert (share is None) == (want is None)
         assert want is None or (abs(share - want) < 1e-4 and abs(cosine - best) < 1e-4)
 
