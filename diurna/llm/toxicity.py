@@ -51,7 +51,8 @@ _SLACK = 1e-6
 
 def word_terms(word: str) -> list[str]:
     """The word, marked by a final blank, and its beginnings."""
-    return [word + " ", *(word[:n] for n in BEGINNINGS if len(word) >= n)]
+    n = len(word)
+    return [word + " ", *[word[:k] for k in BEGINNINGS if k <= n]]
 
 
 def number(term: str) -> int:
@@ -78,21 +79,24 @@ class Reader:
     """Places in a vocabulary of the terms of texts."""
 
     def __init__(self, vocabulary: list[str]):
-        place = {t: k for k, t in enumerate(vocabulary)}
-        #: term -> (its place or None, [(level, place)])
-        self.terms: dict[str, tuple] = {}
-        for t, k in place.items():
-            base, _, level = t.rpartition(" x")
-            if base and level.isdigit():
-                self.terms.setdefault(base, (place.get(base), []))[1].append((int(level), k))
+        split = [t.rpartition(" x") for t in vocabulary]
+        leveled = [(base, int(level)) if base and level.isdigit() else (t, 0) for t, (base, _, level) in zip(vocabulary, split, strict=True)]
+        #: Words and beginnings that have a place themselves or by a level, numbered
+        self.bases = {t: k for k, t in enumerate(dict.fromkeys(t for t, _ in leveled))}
+        self.place = np.full(len(self.bases), -1)
+        self.level_place = np.full((len(LEVELS), len(self.bases)), -1)
+        for k, (base, level) in enumerate(leveled):
+            if level:
+                self.level_place[LEVELS.index(level), self.bases[base]] = k
             else:
-                self.terms.setdefault(t, (k, []))
-        self.known: dict[str, tuple[str, ...]] = {}
+                self.place[self.bases[base]] = k
+        self.levels = np.array(LEVELS)[:, None]
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def _terms(self, word: str) -> tuple[str, ...]:
+    def _terms(self, word: str) -> tuple[int, ...]:
         if len(self.known) >= _CACHE:
             self.known.clear()
-        found = tuple(t for t in word_terms(word) if t in self.terms)
+        found = tuple(self.bases[t] for t in word_terms(word) if t in self.bases)
         if len(word) <= 64:
             self.known[word] = found
         return found
@@ -101,25 +105,18 @@ class Reader:
         """(terms, counts) of a whole text, in no order."""
         get, new, counts = self.known.get, self._terms, {}
         words = words_of(text)
-        total = words.total()
         for word, n in words.items():
             found = get(word)
             if found is None:
                 found = new(word)
             for t in found:
                 counts[t] = counts.get(t, 0) + n
-        terms, times = [], []
-        for t, n in counts.items():
-            base, levels = self.terms[t]
-            if base is not None:
-                terms.append(base)
-                times.append(n)
-            if n > 1:
-                for level, k in levels:
-                    if n * level >= total:
-                        terms.append(k)
-                        times.append(1)
-        return np.array(terms, np.int64), np.array(times, np.int64)
+        bases, times = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts))
+        own = self.place[bases]
+        more = times > 1
+        by_level = self.level_place[:, bases[more]]
+        met = by_level[(by_level >= 0) & (times[more] * self.levels >= words.total())]
+        return np.concatenate([own[own >= 0], met]), np.concatenate([times[own >= 0], np.ones(len(met), np.int64)])
 
 
 def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
