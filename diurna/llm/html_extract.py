@@ -1,10 +1,12 @@
 """Main text of web pages by wrapper induction.
 
 Pages are read into trees of block elements. Pages of one host and layout (the set of its containers' tags and classes) share a wrapper. Its
-tree comes from up to ``PAGES`` of them, aligned one after the other by simple tree matching: two trees match if their roots do, plus
-the best order-preserving matching of their children. Then every page is aligned with the wrapper, and the texts at each node are counted over
-all pages: a text that stands there on nearly all pages, beside other texts that differ, is template; whatever else stands there is content. So
-copies of one article don't make a template of it: their other blocks are the same.
+tree comes from all of them: their different trees are aligned one after the other by simple tree matching, and those that the wrapper
+holds already are passed over: two trees match if their roots do, plus the best order-preserving matching of their children. Elements whose path of keys from the root is on fewer
+than ``LEAST_PAGES`` different pages can't hold a template's text and don't enter the tree; their text varies, as part of the element around them. Then every
+page is aligned with the wrapper, and the texts at each node are counted over all pages: a text that stands there on nearly all pages, beside other
+texts that differ, is template; whatever else stands there is content. So copies of one article don't make a template of it: their other blocks are
+the same.
 
 The article is the part of the wrapper with most of the varying text: from the root down to the child that has more than half of it, until the rest is
 runs of text blocks. Headings beside it that vary belong to it. A page's text is what it has there without the template's texts. Tags, roles and
@@ -17,8 +19,11 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Hashable, Iterable, Iterator
 from difflib import SequenceMatcher
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 import xxhash
@@ -27,9 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, stash
 
-#: Pages that a wrapper's tree is made from; a documented bound. Its texts are counted over all pages
-PAGES = 12
-#: Different pages of a layout that it takes for a wrapper, and for a template's text
+#: Different pages of a layout that it takes for a wrapper, for an element in it, and for a template's text
 LEAST_PAGES = 3
 #: Share of the different pages at a node that a template's text stands on
 CONSTANT = 0.95
@@ -42,6 +45,9 @@ SIBLINGS = 250_000
 #: Wrappers of at most so many bytes in all are broadcast
 BROADCAST_BYTES = 16_000_000
 SALTS = 16
+#: Trees of one group's pages that its wrapper takes in a round, before those that it holds by then are left out. What so many rounds leave is
+#: taken in parts, each from the wrapper so far, and then the parts: no page's tree is passed over that the wrapper doesn't hold
+BUNCH, ROUNDS, PARTS = 1000, 4, 64
 
 # Fixed values
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter q rp rt ruby s samp small span strike strong sub sup time tt u var wbr picture source".split())
@@ -177,10 +183,14 @@ class Slot:
         """[key, children]"""
         return [self.key, [c.dump() for c in self.children]]
 
+    @staticmethod
+    def build(data: list) -> Slot:
+        return Slot(data[0], [Slot.build(c) for c in data[1]])
+
     @staticmethod
     def load(data: list) -> Slot:
         """With numbers in document order."""
-        slot = Slot(data[0], [Slot.load(c) for c in data[1]])
+        slot = Slot.build(data)
         for k, x in enumerate(slot.all()):
             x.number = k
         return slot
@@ -197,18 +207,22 @@ def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
     """Simple tree matching: (size, matched pairs)."""
     if a.key != b.key:
         return 0, []
-    m, n = len(a.children), len(b.children)
+    if not a.children or not b.children:
+        return 1, [(a, b)]
+    keys = {c.key for c in b.children}
+    left, right = [c for c in a.children if c.key in keys], b.children  # a wrapper has many that one page has no partner for
+    m, n = len(left), len(right)
     if m * n > SIBLINGS:
-        runs = SequenceMatcher(None, [c.key for c in a.children], [c.key for c in b.children], autojunk=False).get_matching_blocks()
-        inner = [match(a.children[r.a + k], b.children[r.b + k]) for r in runs for k in range(r.size)]
+        runs = SequenceMatcher(None, [c.key for c in left], [c.key for c in right], autojunk=False).get_matching_blocks()
+        inner = [match(left[r.a + k], right[r.b + k]) for r in runs for k in range(r.size)]
         return 1 + sum(size for size, _ in inner), [(a, b), *(p for _, pairs in inner for p in pairs)]
     inner = {}
     best = [[0] * (n + 1) for _ in range(m + 1)]
     for i in range(1, m + 1):
         for j in range(1, n + 1):
             w = 0
-            if a.children[i - 1].key == b.children[j - 1].key:
-                inner[i, j] = match(a.children[i - 1], b.children[j - 1])
+            if left[i - 1].key == right[j - 1].key:
+                inner[i, j] = match(left[i - 1], right[j - 1])
                 w = inner[i, j][0]
             best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w)
     pairs, i, j = [(a, b)], m, n
@@ -223,30 +237,89 @@ def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
     return best[m][n] + 1, pairs
 
 
+def strays(pairs: list[tuple[Slot, Slot]]) -> list[tuple[Slot, Slot]]:
+    """(the wrapper's node, the page's) of the page's nodes without a partner whose parents have that one."""
+    partnered = {id(b) for _, b in pairs}
+    return [(a, c) for a, b in pairs for c in b.children if id(c) not in partnered]
+
+
 def absorb(wrapper: Slot, page: Slot) -> None:
-    """Align a page with the wrapper: what has no partner is added where it stands."""
+    """Align a page, or another wrapper, with the wrapper: what has no partner is added where it stands."""
     _, pairs = match(wrapper, page)
     partner = {id(b): a for a, b in pairs}
     for a, b in pairs:
-        merged, at = list(a.children), 0
+        merged, at = [], 0
         for child in b.children:
-            if id(child) in partner:
-                at = next(k for k, x in enumerate(merged) if x is partner[id(child)]) + 1
-            else:
-                merged.insert(at, child)
+            same = partner.get(id(child))
+            if same is None:
+                merged.append(child)
+                continue
+            while a.children[at] is not same:
+                merged.append(a.children[at])
                 at += 1
-        a.children = merged
+            merged.append(same)
+            at += 1
+        a.children = merged + a.children[at:]
+
+
+def shape(page: str | None) -> str:
+    """A page's tree without its texts, as JSON."""
+    return _json(Slot.of(parse(page)))
+
+
+def _json(slot: Slot) -> str:
+    return json.dumps(slot.dump(), ensure_ascii=False, separators=(",", ":"))
+
+
+def paths(shape: str) -> set[int]:
+    """Hashes of the keys from the root down to each node."""
+    found, ahead = set(), [("", json.loads(shape))]
+    while ahead:
+        above, (key, children) = ahead.pop()
+        path = _hash(f"{above} {key}")
+        found.add(path)
+        ahead += [(path, c) for c in children]
+    return found
+
+
+def pruned(shape: str, kept: frozenset[int]) -> str | None:
+    """The tree without the nodes whose paths are not kept; None if the root's isn't."""
+
+    def cut(above, node: list) -> list | None:
+        path = _hash(f"{above} {node[0]}")
+        if path not in kept:
+            return None
+        return [node[0], [c for c in (cut(path, x) for x in node[1]) if c is not None]]
+
+    found = cut("", json.loads(shape))
+    return None if found is None else json.dumps(found, ensure_ascii=False, separators=(",", ":"))
 
 
 def skeleton(pages: list[str]) -> str | None:
-    """The wrapper's tree as JSON, or None if too few of the pages differ."""
-    distinct = list(dict.fromkeys(pages))
-    if len(distinct) < LEAST_PAGES:
+    """The wrapper's tree of a few pages as JSON, or None if too few of them differ; wrappers() makes it of many."""
+    shapes = [shape(p) for p in dict.fromkeys(pages)]
+    if len(shapes) < LEAST_PAGES:
         return None
-    wrapper = Slot.of(parse(distinct[0]))
-    for page in distinct[1:]:
-        absorb(wrapper, Slot.of(parse(page)))
-    return json.dumps(wrapper.dump(), ensure_ascii=False)
+    on = Counter(p for x in shapes for p in paths(x))
+    kept = frozenset(p for p, n in on.items() if n >= LEAST_PAGES)
+    return merged((0, x) for x in sorted({pruned(x, kept) for x in shapes}))[0]
+
+
+def merged(trees: Iterable[tuple[int, str]]) -> tuple[str, int]:
+    """The trees in one, and the rank of the last: each comes with its rank."""
+    trees = iter(trees)
+    last, first = next(trees)
+    wrapper = Slot.build(json.loads(first))
+    for rank, tree in trees:
+        absorb(wrapper, Slot.build(json.loads(tree)))
+        last = rank
+    return _json(wrapper), last
+
+
+def holds(wrapper: Slot, tree: str) -> bool:
+    """Every node of the tree has a partner in the wrapper, so that absorbing it would change nothing."""
+    page = Slot.build(json.loads(tree))
+    return match(wrapper, page)[0] == sum(1 for _ in page.all())
 
 
 def _hash(text: str) -> int:
@@ -257,6 +330,7 @@ def sightings(page: str | None, wrapper: Slot) -> list[tuple]:
     """(slot, text, characters, named, first, others ..) of each different block at the wrapper's nodes.
 
     Texts are hashes; named: it lies in boilerplate by name; first: no block of this node came before; others: the page's longest blocks but this one.
+    What stands in elements that the wrapper doesn't have is one row for each of its nodes around them: slot -1 - its number, with their characters.
     """
     root = parse(page)
     inside, ahead = set(), [(root, False)]
@@ -267,7 +341,8 @@ def sightings(page: str | None, wrapper: Slot) -> list[tuple]:
             inside.add(id(node))
         ahead += [(x, named) for x in node.items if not isinstance(x, str)]
     found = []
-    for a, b in match(wrapper, Slot.of(root))[1]:
+    pairs = match(wrapper, Slot.of(root))[1]
+    for a, b in pairs:
         texts = {x: id(node) in inside for node in b.nodes for x in node.items if isinstance(x, str)}
         found += [(a.number, t, named, k == 0) for k, (t, named) in enumerate(texts.items())]
     longest = sorted({t for _, t, _, _ in found}, key=lambda t: (-len(t), t))[: OTHERS + 1]
@@ -276,7 +351,10 @@ def sightings(page: str | None, wrapper: Slot) -> list[tuple]:
     for slot, t, named, first in found:
         others = [number[x] for x in longest if x != t][:OTHERS]
         out.append((slot, _hash(t), len(t), named, first, *others, *[0] * (OTHERS - len(others))))
-    return out
+    loose = Counter()
+    for a, c in strays(pairs):
+        loose[a.number] += sum(len(t) for x in c.all() for node in x.nodes if id(node) not in inside for t in node.items if isinstance(t, str))
+    return out + [(-1 - slot, 0, chars, False, False, *[0] * OTHERS) for slot, chars in loose.items() if chars]
 
 
 class Wrapper:
@@ -289,21 +367,30 @@ class Wrapper:
             self.fixed.setdefault(slot, set()).add(text)
         slots = list(self.root.all())
         own = dict(masses)
-        whole = [own.get(k, 0) for k in range(len(slots))]
+        loose = {k for k in range(len(slots)) if own.get(-1 - k)}
+        whole = [own.get(k, 0) + own.get(-1 - k, 0) for k in range(len(slots))]
         for slot in reversed(slots):
             whole[slot.number] += sum(whole[c.number] for c in slot.children)
-        #: Node of the article and headings that belong to it, by number; none if nothing varies
-        self.article, self.headings = None, set()
+        #: The article's node, then those of the same path by falling mass: a page without the first has its article there if that is most of its text
+        self.articles: list[int] = []
+        #: Headings that belong to the article, and nodes whose headings do that the wrapper doesn't have, by number
+        self.headings, self.around = set(), set()
         if whole and whole[0]:
-            at, beside = self.root, []
+            at, beside, above = self.root, [], []
             while True:
                 heavy = max(at.children, key=lambda c: whole[c.number], default=None)
-                if heavy is None or 2 * whole[heavy.number] <= whole[at.number] or not any(whole[c.number] for c in heavy.children):
+                if heavy is None or 2 * whole[heavy.number] <= whole[at.number] or not (heavy.number in loose or any(whole[c.number] for c in heavy.children)):
                     break
                 beside += [c for c in at.children if c is not heavy]
+                above.append(at)
                 at = heavy
-            self.article = at.number
-            self.headings = {x.number for c in beside if not _site_header(c.key) for x in [c, *c.children] if x.key.partition(".")[0] in _HEADINGS and own.get(x.number)}
+            level = [self.root]
+            for x in [*above, at][1:]:
+                level = [c for y in level for c in y.children if c.key == x.key]
+            self.articles = [at.number, *sorted((x.number for x in level if x is not at and whole[x.number]), key=lambda k: -whole[k])]
+            beside = [c for c in beside if not _site_header(c.key)]
+            self.headings = {x.number for c in beside for x in [c, *c.children] if x.key.partition(".")[0] in _HEADINGS and own.get(x.number)}
+            self.around = {x.number for x in [*above, *beside]}
 
 
 def _site_header(key: str) -> bool:
@@ -328,6 +415,10 @@ def _blocks(node: Node, template: dict[int, set[int]], wanted: set[int] | None =
     return out
 
 
+def _length(blocks: list[str]) -> int:
+    return sum(map(len, blocks))
+
+
 def _articles(node: Node, wanted) -> list[Node]:
     """The outermost nodes that are wanted, outside of boilerplate and headers."""
     out, ahead = [], [node]
@@ -345,15 +436,19 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
     template: dict[int, set[int]] = {}
     if wrapper is not None:
         pairs = match(wrapper.root, Slot.of(root))[1]
+        at: dict[int, set[int]] = {}
         for a, b in pairs:
+            at.setdefault(a.number, set()).update(id(node) for node in b.nodes)
             for node in b.nodes:
                 if a.number in wrapper.fixed:
                     template[id(node)] = wrapper.fixed[a.number]
-        if wrapper.article is not None:
-            article = {id(n) for a, b in pairs if a.number == wrapper.article for n in b.nodes}
-            if article:
-                beside = {id(n) for a, b in pairs if a.number in wrapper.headings for n in b.nodes}
-                return "\n".join(_blocks(root, template, article | beside))
+        article = next((k for k in wrapper.articles if k in at), None)
+        if article is not None and (article == wrapper.articles[0] or 2 * _length(_blocks(root, template, at[article])) > _length(_blocks(root, template))):
+            beside = set().union(*(at[k] for k in wrapper.headings if k in at))
+            for a, c in strays(pairs):
+                if a.number in wrapper.around and not _site_header(c.key):
+                    beside |= {id(n) for x in [c, *c.children] for n in x.nodes if n.tag in _HEADINGS and not n.boilerplate()}
+            return "\n".join(_blocks(root, template, at[article] | beside))
     # no wrapper, or a page that it doesn't fit: names decide
     for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or "main" in n.roles, lambda n: n.tag in ("div", "section", "td") and bool(n.marks & CONTENT)):
         regions = _articles(root, wanted)
@@ -376,27 +471,102 @@ def _grouped(pages: DataFrame, url_col: str, html_col: str, *more: str) -> DataF
     return pages.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(more)], host.alias("host"), F.coalesce(layout, F.lit(0)).alias("layout"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
 
 
-def _with_wrappers(rows: DataFrame, found: DataFrame, size: int, how: str) -> DataFrame:
+def _with_wrappers(rows: DataFrame, found: DataFrame, size: int, how: str, dealt_by: str = "html") -> DataFrame:
     """rows joined with their groups' wrappers: broadcast where those are small, else shuffled with the groups' pages dealt over several tasks."""
     if size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(found), ["host", "layout"], how)
     salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")).join(salted, ["host", "layout", "salt"], how).drop("salt")
+    return rows.withColumn("salt", F.pmod(F.xxhash64(dealt_by), F.lit(SALTS)).cast("int")).join(salted, ["host", "layout", "salt"], how).drop("salt")
+
+
+def _grown(trees: DataFrame, more: DataFrame) -> DataFrame:
+    """(host, layout, part, tree, last): the tree of each group's part with those of more, by rank, and the last rank."""
+    both = trees.select("host", "layout", "part", F.lit(False).alias("more"), F.lit(0).cast("long").alias("rank"), "tree")
+    both = both.unionByName(more.select("host", "layout", "part", F.lit(True).alias("more"), "rank", "tree"))
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (row for batch in batches for row in zip(*[batch[c].tolist() for c in ("host", "layout", "part", "rank", "tree")], strict=True))
+        for (host, layout, part), group in groupby(rows, key=itemgetter(0, 1, 2)):
+            tree, last = merged(row[3:] for row in group)
+            yield pd.DataFrame({"host": [host], "layout": [layout], "part": [part], "tree": [tree], "last": [last]})
+
+    dealt = both.repartition("host", "layout", "part").sortWithinPartitions("host", "layout", "part", "more", "rank", "tree")
+    return dealt.mapInPandas(grow, "host string, layout long, part int, tree string, last long")
+
+
+def _all_merged(rest: DataFrame) -> DataFrame:
+    """(host, layout, tree) of groups; rest: (host, layout, rank, tree), different trees with a hash as rank."""
+
+    def lacking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple[str, int], Slot] = {}
+        for batch in batches:
+            keep = []
+            for host, layout, tree, wrapper in zip(*[batch[c].tolist() for c in ("host", "layout", "tree", "wrapper")], strict=True):
+                if (host, layout) not in known:
+                    if len(known) >= 500:
+                        known.clear()
+                    known[host, layout] = Slot.build(json.loads(wrapper))
+                keep.append(not holds(known[host, layout], tree))
+            yield batch.loc[keep, ["host", "layout", "rank", "tree"]]
+
+    tasks = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Spark limits each task's rows by group before the shuffle; equal ranks are taken together
+    first = Window.partitionBy("host", "layout").orderBy("rank")
+    trees = rest.limit(0).withColumn("part", F.lit(0))
+    for _ in range(ROUNDS):
+        taken = rest.withColumn("n", F.rank().over(first)).where(F.col("n") <= BUNCH).withColumn("part", F.lit(0))
+        trees = stash(_grown(trees, taken), "trees")
+        size = trees.agg(F.sum(F.octet_length("tree") + F.octet_length("host"))).first()[0] or 0
+        if _with_wrappers(rest, trees.select("host", "layout", "last"), size, "inner", "tree").where("rank > last").isEmpty():
+            return trees
+        # trees are small beside the work on them: dealt by number, where Spark would make few tasks by their bytes
+        ahead = _with_wrappers(rest.repartition(tasks, "rank"), trees.select("host", "layout", F.col("tree").alias("wrapper"), "last"), size, "inner", "tree").where("rank > last")
+        rest = stash(ahead.select("host", "layout", "rank", "tree", "wrapper").mapInPandas(lacking, rest.schema), "shapes")
+        if rest.isEmpty():
+            return trees
+    parts = rest.withColumn("part", F.pmod("rank", F.lit(PARTS)).cast("int"))
+    bases = parts.select("host", "layout", "part").distinct().join(trees.drop("part"), ["host", "layout"])
+    return _grown(trees, _grown(bases, parts).select("host", "layout", F.lit(0).alias("part"), F.col("part").cast("long").alias("rank"), "tree"))
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, layout, tree, fixed, masses) of groups that have a wrapper."""
     rows = _grouped(pages, url_col, html_col).where("host <> '' and html is not null")
-    # Spark limits each task's rows by group before the shuffle
-    first = Window.partitionBy("host", "layout").orderBy("rank", "html")
-    sample = rows.withColumn("rank", F.xxhash64("html")).withColumn("n", F.row_number().over(first)).where(F.col("n") <= PAGES)
 
-    def grow(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["rank", "html"])
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "layout": [group["layout"].iloc[0]], "tree": [skeleton(group["html"].tolist())]})
+    def outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[["host", "layout", "rank"]].assign(shape=[shape(p) for p in batch["html"].tolist()])
+
+    outlines = rows.withColumn("rank", F.xxhash64("html")).select("host", "layout", "rank", "html").mapInPandas(outline, "host string, layout long, rank long, shape string")
+    shapes = stash(outlines.distinct().groupBy("host", "layout", "shape").agg(F.count(F.lit(1)).alias("n")), "shapes")
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            on = Counter()
+            for host, layout, tree, n in zip(*[batch[c].tolist() for c in ("host", "layout", "shape", "n")], strict=True):
+                for path in paths(tree):
+                    on[host, layout, path] += n
+            yield pd.DataFrame([(*k, n) for k, n in on.items()], columns=["host", "layout", "path", "n"])
+
+    on = shapes.mapInPandas(walk, "host string, layout long, path long, n long").groupBy("host", "layout", "path").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_PAGES)
+    kept = stash(on.groupBy("host", "layout").agg(F.collect_list("path").alias("kept")), "paths")
+    size = kept.agg(F.sum(8 * F.size("kept") + F.octet_length("host"))).first()[0] or 0
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple[str, int], frozenset[int]] = {}
+        for batch in batches:
+            trees = []
+            for host, layout, tree, kept in zip(*[batch[c].tolist() for c in ("host", "layout", "shape", "kept")], strict=True):
+                if (host, layout) not in known:
+                    if len(known) >= 500:
+                        known.clear()
+                    known[host, layout] = frozenset(kept.tolist())
+                trees.append(pruned(tree, known[host, layout]))
+            yield batch[["host", "layout"]].assign(tree=trees)
 
-    trees = sample.select("host", "layout", "rank", "html").groupBy("host", "layout").applyInPandas(grow, "host string, layout long, tree string").where("tree is not null")
-    trees = stash(trees.withColumn("g", F.monotonically_increasing_id()), "trees")
+    cut_trees = _with_wrappers(shapes, kept, size, "inner", "shape").select("host", "layout", "shape", "kept").mapInPandas(cut, "host string, layout long, tree string").distinct()
+    trees = _all_merged(stash(cut_trees.withColumn("rank", F.xxhash64("tree")), "shapes"))
+    trees = stash(trees.select("host", "layout", "tree", F.monotonically_increasing_id().alias("g")), "trees")
     size = trees.agg(F.sum(F.octet_length("tree") + F.octet_length("host"))).first()[0] or 0
     joined = _with_wrappers(rows, trees, size, "inner").select("g", "tree", "html")
 
@@ -414,18 +584,15 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
 
     others = [f"other_{k}" for k in range(OTHERS)]
     seen = stash(joined.mapInPandas(see, "g long, slot int, text long, chars int, named boolean, first boolean, " + ", ".join(f"{o} int" for o in others)), "sightings")
-    texts = seen.groupBy("g", "slot", "text").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(~F.col("named"), F.col("chars"))).alias("chars"), F.count_if("first").alias("firsts"))
-    pages_at = texts.groupBy("g", "slot").agg(F.sum("firsts").alias("pages"))
-    counted = stash(texts.join(pages_at, ["g", "slot"]), "texts")
-    steady = counted.where((F.col("n") >= LEAST_PAGES) & (F.col("n") >= CONSTANT * F.col("pages"))).select("g", "slot", "text")
+    texts = stash(seen.groupBy("g", "slot", "text").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(~F.col("named"), F.col("chars"))).alias("chars"), F.count_if("first").alias("firsts")), "texts")
+    slots = texts.groupBy("g", "slot").agg(F.sum("firsts").alias("pages"), F.coalesce(F.sum("chars"), F.lit(0)).alias("mass"))
+    # texts that differ from page to page, most of them, are left out before the join by node
+    steady = texts.where((F.col("n") >= LEAST_PAGES) & (F.col("slot") >= 0)).join(slots, ["g", "slot"]).where(F.col("n") >= CONSTANT * F.col("pages")).select("g", "slot", "text", texts["chars"])
     # copies of one article have its blocks beside each other: a template's have different ones
     company = seen.join(steady, ["g", "slot", "text"], "left_semi").groupBy("g", "slot", "text").agg(F.array_sort(F.array(*[F.count_distinct(o) for o in others])).alias("company"))
-    fixed = company.where(F.element_at("company", 2) >= LEAST_PAGES).select("g", "slot", "text", F.lit(True).alias("fixed"))
-    slots = (
-        counted.join(fixed, ["g", "slot", "text"], "left")
-        .groupBy("g", "slot")
-        .agg(F.collect_list(F.when(F.col("fixed"), F.struct("slot", "text"))).alias("fixed"), F.coalesce(F.sum(F.when(F.col("fixed").isNull(), F.col("chars"))), F.lit(0)).cast("long").alias("mass"))
-    )
+    fixed = steady.join(company.where(F.element_at("company", 2) >= LEAST_PAGES), ["g", "slot", "text"], "left_semi")
+    fixed = fixed.groupBy("g", "slot").agg(F.collect_list(F.struct("slot", "text")).alias("fixed"), F.coalesce(F.sum("chars"), F.lit(0)).alias("less"))
+    slots = slots.join(fixed, ["g", "slot"], "left").select("g", F.coalesce("fixed", F.array().cast("array<struct<slot:int,text:bigint>>")).alias("fixed"), "slot", (F.col("mass") - F.coalesce("less", F.lit(0))).cast("long").alias("mass"))
     wrapped = slots.groupBy("g").agg(F.flatten(F.collect_list("fixed")).alias("fixed"), F.collect_list(F.struct("slot", "mass")).alias("masses"))
     return trees.join(wrapped, "g").select("host", "layout", "tree", "fixed", "masses")
 
@@ -439,22 +606,24 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     small_batches(pages.sparkSession)
     kind = pages.schema[id_col].dataType.simpleString()
-    found = stash(wrappers(pages, url_col, html_col), "wrappers")
-    size = found.agg(F.sum(F.octet_length("tree") + F.octet_length("host") + 12 * (F.size("fixed") + F.size("masses")))).first()[0] or 0
+    # as JSON, which is read once for a wrapper and not for every page
+    found = stash(wrappers(pages, url_col, html_col).select("host", "layout", "tree", F.to_json(F.struct("fixed", "masses")).alias("counts")), "wrappers")
+    size = found.agg(F.sum(F.octet_length("tree") + F.octet_length("host") + F.octet_length("counts"))).first()[0] or 0
     joined = _with_wrappers(_grouped(pages, url_col, html_col, id_col), found, size, "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[tuple[str, int], Wrapper] = {}
         for batch in batches:
             texts = []
-            for host, layout, page, tree, fixed, masses in zip(*[batch[c].tolist() for c in ("host", "layout", "html", "tree", "fixed", "masses")], strict=True):
+            for host, layout, page, tree, counts in zip(*[batch[c].tolist() for c in ("host", "layout", "html", "tree", "counts")], strict=True):
                 wrapper = known.get((host, layout))
                 if wrapper is None and tree is not None:
                     if len(known) >= 500:
                         known.clear()
-                    wrapper = known[host, layout] = Wrapper(tree, [(x["slot"], x["text"]) for x in fixed], [(x["slot"], x["mass"]) for x in masses])
+                    counts = json.loads(counts)
+                    wrapper = known[host, layout] = Wrapper(tree, [(x["slot"], x["text"]) for x in counts["fixed"]], [(x["slot"], x["mass"]) for x in counts["masses"]])
                 texts.append(main_text(page, wrapper))
             yield pd.DataFrame({"id": batch["_0"], "url": batch["url"], "text": texts})
 
-    out = joined.select(F.col("_0").cast("string").alias("_0"), "url", "host", "layout", "html", "tree", "fixed", "masses").mapInPandas(run, "id string, url string, text string")
+    out = joined.select(F.col("_0").cast("string").alias("_0"), "url", "host", "layout", "html", "tree", "counts").mapInPandas(run, "id string, url string, text string")
     return out.select(F.col("id").cast(kind).alias(id_col), "url", "text", F.char_length("text").cast("long").alias("n_chars"))

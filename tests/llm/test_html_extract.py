@@ -148,3 +148,85 @@ def test_very_long_and_broken_pages():
     assert hx.main_text("<article>one <b>two</b><!-- x") == "one two"
     assert hx.main_text("<article>one <b") == "one"
     assert hx.main_text("<div>" * 400 + "deep" + "</div>" * 400) == "deep"
+
+
+def test_a_template_on_few_pages_of_a_layout(spark):
+    rng = random.Random(10)
+    pages, want = [], {}
+    for k in range(400):
+        b = blocks(rng, rng.randrange(2, 6))
+        extra = "<center>Tell your friends</center>" if k % 50 == 7 else ""
+        pages.append("<body><div class=a1><p>The Daily Site</p></div><div class=c1>" + "".join(f"<p>{html.escape(x)}</p>" for x in b) + extra + "</div></body>")
+        want[k] = "\n".join(b)
+    assert extracted(spark, pages) == want
+
+
+def test_copies_of_a_page_leave_the_others_their_wrapper(spark):
+    rng = random.Random(11)
+    texts = [blocks(rng, 4) for _ in range(12)]
+    pages = [f"<body><div class=a1>The Daily Site</div><div class=c1>{''.join(f'<p>{html.escape(x)}</p>' for x in b)}</div></body>" for b in texts]
+    rows = [(40 * k + n, f"https://h.example.com/{k}", p) for k, p in enumerate(pages) for n in range(40)]
+    got = {r["page_id"]: r["text"] for r in hx.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {40 * k + n: "\n".join(b) for k, b in enumerate(texts) for n in range(40)}
+
+
+def test_elements_with_names_of_their_own(spark):
+    """Headings and wrapping elements with an id from their page's title: the tree has none of them, their text counts."""
+    rng = random.Random(12)
+    pages, want = [], {}
+    for k in range(60):
+        b = blocks(rng, 5)
+        name = "".join(rng.choices("abcdefghij", k=12))
+        pages.append(
+            f"<body><div class=a1><p>The Daily Site</p><p>{rng.random()}</p></div><div class=c0><h1 id={name}x>{html.escape(b[0])}</h1><div class=c1><div class=c2 id={name}>"
+            f"<h2 id={name}y>{html.escape(b[1])}</h2>{''.join(f'<p>{html.escape(x)}</p>' for x in b[2:])}</div></div></div><div class=e1>All rights reserved</div></body>"
+        )
+        want[k] = "\n".join(b)
+    assert extracted(spark, pages) == want
+    trees = [hx.Slot.load(hx.json.loads(hx.skeleton(pages[:n]))) for n in (10, 60)]
+    assert [len(list(t.all())) for t in trees] == [7, 7]
+
+
+def test_merged_trees_hold_every_page_and_stay_as_they_are():
+    rng = random.Random(13)
+    for _ in range(60):
+        shapes = [hx._json(hx.Slot("a", tree(rng, 2).children)) for _ in range(5)]
+        parts = [hx.merged((0, s) for s in some)[0] for some in (shapes[:2], shapes[2:])]
+        whole = hx.Slot.build(hx.json.loads(hx.merged((0, p) for p in parts)[0]))
+        before = hx._json(whole)
+        for s in shapes:
+            page = hx.Slot.build(hx.json.loads(s))
+            assert hx.match(whole, page)[0] == sum(1 for _ in page.all())
+            assert hx.holds(whole, s) and not hx.strays(hx.match(whole, page)[1])
+            hx.absorb(whole, page)
+        assert hx._json(whole) == before
+
+
+def test_paths_on_too_few_pages_are_cut():
+    shapes = [hx.shape(p) for p in ("<p>a</p><div><p>b</p></div>", "<div><p>c</p><ul></ul></div>", "<div class=x><p>d</p></div>")]
+    on = [hx.paths(s) for s in shapes]
+    assert [len(p) for p in on] == [4, 4, 3]
+    assert hx.pruned(shapes[1], frozenset(on[0] & on[1])) == '["#root",[["div",[["p",[]]]]]]'
+    assert hx.pruned(shapes[2], frozenset(on[0] & on[1])) == '["#root",[]]'
+    assert hx.pruned(shapes[0], frozenset()) is None
+
+
+def test_wrappers_of_varied_pages_hold_all_of_them(spark, monkeypatch):
+    rng = random.Random(14)
+    pages, want = [], {}
+    for k in range(120):
+        b = blocks(rng, rng.randrange(3, 9))
+        body = "".join(rng.choice(("<p>{}</p>", "<pre>{}</pre>", "<ul><li>{}</li></ul>", "<blockquote><p>{}</p></blockquote>")).format(html.escape(x)) for x in b)
+        pages.append(f"<body><div class=a1><p>The Daily Site</p></div><div class=c1>{body}<center>Tell your friends</center></div></body>")
+        want[k] = "\n".join(b)
+    table = spark.createDataFrame([(k, f"https://h{k % 2}.example.com/{k}", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    for bunch, rounds, size in ((1000, 4, hx.BROADCAST_BYTES), (5, 50, hx.BROADCAST_BYTES), (5, 2, 0)):
+        monkeypatch.setattr(hx, "BUNCH", bunch)
+        monkeypatch.setattr(hx, "ROUNDS", rounds)
+        monkeypatch.setattr(hx, "BROADCAST_BYTES", size)
+        found = {r["host"]: hx.Slot.load(hx.json.loads(r["tree"])) for r in hx.wrappers(table).collect()}
+        assert len(found) == 2
+        on = [hx.Counter(x for p in pages[h::2] for x in hx.paths(hx.shape(p))) for h in (0, 1)]
+        for k, p in enumerate(pages):
+            assert hx.holds(found[f"h{k % 2}.example.com"], hx.pruned(hx.shape(p), frozenset(x for x, n in on[k % 2].items() if n >= hx.LEAST_PAGES)))
+        assert {r["page_id"]: r["text"] for r in hx.extract(table).collect()} == want
