@@ -20,7 +20,7 @@ import html
 import json
 import re
 from collections import Counter
-from collections.abc import Hashable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from difflib import SequenceMatcher
 from itertools import groupby
 from operator import itemgetter
@@ -45,6 +45,8 @@ SIBLINGS = 250_000
 #: Wrappers of at most so many bytes in all are broadcast
 BROADCAST_BYTES = 16_000_000
 SALTS = 16
+#: JSON of wrappers that a Python worker holds read, at most; their nodes take about 25 times as much
+KNOWN_BYTES = 8_000_000
 #: Trees of one group's pages that its wrapper takes in a round, before those that it holds by then are left out. What so many rounds leave is
 #: taken in parts, each from the wrapper so far, and then the parts: no page's tree is passed over that the wrapper doesn't hold
 BUNCH, ROUNDS, PARTS = 1000, 4, 64
@@ -463,6 +465,24 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
     return "\n".join(_blocks(shell, template))
 
 
+class Known:
+    """What a Python worker has read of its groups' wrappers; read anew where they have more than KNOWN_BYTES in all."""
+
+    def __init__(self, read: Callable):
+        self.read, self.held, self.size = read, {}, 0
+
+    def get(self, key: Hashable, *sources):
+        found = self.held.get(key)
+        if found is None:
+            size = sum(x.nbytes if hasattr(x, "nbytes") else len(x) for x in sources)
+            if self.size + size > KNOWN_BYTES:
+                self.held.clear()
+                self.size = 0
+            found = self.held[key] = self.read(*sources)
+            self.size += size
+        return found
+
+
 def _grouped(pages: DataFrame, url_col: str, html_col: str, *more: str) -> DataFrame:
     """Columns _0.. for those asked for, url, html, and the group: host, and layout (the containers' tags and classes without numbers)."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
@@ -498,15 +518,11 @@ def _all_merged(rest: DataFrame) -> DataFrame:
     """(host, layout, tree) of groups; rest: (host, layout, rank, tree), different trees with a hash as rank."""
 
     def lacking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[tuple[str, int], Slot] = {}
+        known = Known(lambda wrapper: Slot.build(json.loads(wrapper)))
         for batch in batches:
             keep = []
             for host, layout, tree, wrapper in zip(*[batch[c].tolist() for c in ("host", "layout", "tree", "wrapper")], strict=True):
-                if (host, layout) not in known:
-                    if len(known) >= 500:
-                        known.clear()
-                    known[host, layout] = Slot.build(json.loads(wrapper))
-                keep.append(not holds(known[host, layout], tree))
+                keep.append(not holds(known.get((host, layout), wrapper), tree))
             yield batch.loc[keep, ["host", "layout", "rank", "tree"]]
 
     tasks = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -553,15 +569,11 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     size = kept.agg(F.sum(8 * F.size("kept") + F.octet_length("host"))).first()[0] or 0
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[tuple[str, int], frozenset[int]] = {}
+        known = Known(lambda kept: frozenset(kept.tolist()))
         for batch in batches:
             trees = []
             for host, layout, tree, kept in zip(*[batch[c].tolist() for c in ("host", "layout", "shape", "kept")], strict=True):
-                if (host, layout) not in known:
-                    if len(known) >= 500:
-                        known.clear()
-                    known[host, layout] = frozenset(kept.tolist())
-                trees.append(pruned(tree, known[host, layout]))
+                trees.append(pruned(tree, known.get((host, layout), kept)))
             yield batch[["host", "layout"]].assign(tree=trees)
 
     cut_trees = _with_wrappers(shapes, kept, size, "inner", "shape").select("host", "layout", "shape", "kept").mapInPandas(cut, "host string, layout long, tree string").distinct()
@@ -571,15 +583,11 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     joined = _with_wrappers(rows, trees, size, "inner").select("g", "tree", "html")
 
     def see(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[int, Slot] = {}
+        known = Known(lambda tree: Slot.load(json.loads(tree)))
         for batch in batches:
             out = []
             for g, tree, page in zip(batch["g"].tolist(), batch["tree"].tolist(), batch["html"].tolist(), strict=True):
-                if g not in known:
-                    if len(known) >= 500:
-                        known.clear()
-                    known[g] = Slot.load(json.loads(tree))
-                out += [(g, *s) for s in sightings(page, known[g])]
+                out += [(g, *s) for s in sightings(page, known.get(g, tree))]
             yield pd.DataFrame(out, columns=["g", "slot", "text", "chars", "named", "first", *others])
 
     others = [f"other_{k}" for k in range(OTHERS)]
@@ -612,17 +620,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     joined = _with_wrappers(_grouped(pages, url_col, html_col, id_col), found, size, "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[tuple[str, int], Wrapper] = {}
+        def wrapper(tree: str, counts: str) -> Wrapper:
+            found = json.loads(counts)
+            return Wrapper(tree, [(x["slot"], x["text"]) for x in found["fixed"]], [(x["slot"], x["mass"]) for x in found["masses"]])
+
+        known = Known(wrapper)
         for batch in batches:
             texts = []
             for host, layout, page, tree, counts in zip(*[batch[c].tolist() for c in ("host", "layout", "html", "tree", "counts")], strict=True):
-                wrapper = known.get((host, layout))
-                if wrapper is None and tree is not None:
-                    if len(known) >= 500:
-                        known.clear()
-                    counts = json.loads(counts)
-                    wrapper = known[host, layout] = Wrapper(tree, [(x["slot"], x["text"]) for x in counts["fixed"]], [(x["slot"], x["mass"]) for x in counts["masses"]])
-                texts.append(main_text(page, wrapper))
+                texts.append(main_text(page, None if tree is None else known.get((host, layout), tree, counts)))
             yield pd.DataFrame({"id": batch["_0"], "url": batch["url"], "text": texts})
 
     out = joined.select(F.col("_0").cast("string").alias("_0"), "url", "host", "layout", "html", "tree", "counts").mapInPandas(run, "id string, url string, text string")

@@ -230,3 +230,11 @@ def test_wrappers_of_varied_pages_hold_all_of_them(spark, monkeypatch):
         for k, p in enumerate(pages):
             assert hx.holds(found[f"h{k % 2}.example.com"], hx.pruned(hx.shape(p), frozenset(x for x, n in on[k % 2].items() if n >= hx.LEAST_PAGES)))
         assert {r["page_id"]: r["text"] for r in hx.extract(table).collect()} == want
+
+
+def test_wrappers_beyond_the_bytes_held_are_read_anew(monkeypatch):
+    monkeypatch.setattr(hx, "KNOWN_BYTES", 10)
+    reads = []
+    known = hx.Known(lambda x: reads.append(x) or x.upper())
+    assert [known.get(k, t) for k, t in ((1, "abcd"), (2, "efgh"), (1, "abcd"), (3, "ij"), (4, "kl" * 9), (4, "kl" * 9), (1, "abcd"))] == ["ABCD", "EFGH", "ABCD", "IJ", "KL" * 9, "KL" * 9, "ABCD"]
+    assert reads == ["abcd", "efgh", "ij", "kl" * 9, "abcd"]
